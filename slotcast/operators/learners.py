@@ -1,7 +1,7 @@
 """Boosted trees on Spark ML: fit, score, importance.
 
-The pipeline carries its own missing-value flags, imputation and category order, so a
-saved model scores raw feature rows.
+The pipeline carries its own missing-value flags and category order, so a saved model
+scores raw feature rows.
 """
 
 from __future__ import annotations
@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MODEL_FEATURES
+from ..session import ensure_checkpoint_dir
 from .evaluation import eval_metrics
 
 NUMERIC = [
@@ -42,13 +43,13 @@ MAX_ROUNDS = 500
 def _stages(
     labels: Sequence[str], key: str, target: str, loss: str, rounds: int, **settings
 ) -> list:
-    flags = ", ".join(f"CAST({c} IS NULL AS DOUBLE) AS {c}_missing" for c in NUMERIC)
-    whole = ", ".join(f"CAST({c} AS DOUBLE) AS {c}_num" for c in INTEGER)
-    inputs = SQLTransformer(statement=f"SELECT *, {flags}, {whole} FROM __THIS__")
-    # A column without any value cannot be averaged; it is kept as zero next to its flag.
-    fill = Imputer(
-        inputCols=NUMERIC, outputCols=[f"{c}_filled" for c in NUMERIC], strategy="mean"
-    )
+    # Missing values: a constant next to a flag, so a tree can split them off.  No pass
+    # over the data is needed, and a column that is missing throughout does no harm.
+    filled = [f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}_filled" for c in NUMERIC]
+    flags = [f"CAST({c} IS NULL AS DOUBLE) AS {c}_missing" for c in NUMERIC]
+    whole = [f"CAST({c} AS DOUBLE) AS {c}_num" for c in INTEGER]
+    columns = ", ".join(filled + flags + whole)
+    inputs = SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
     index = StringIndexerModel.from_labels(
         list(labels), inputCol=key, outputCol=f"{key}_cat", handleInvalid="keep"
     )
@@ -70,7 +71,7 @@ def _stages(
         maxIter=rounds,
         **options,
     )
-    return [inputs, fill, index, vector, learner]
+    return [inputs, index, vector, learner]
 
 
 def _usable(df: DataFrame, target: str) -> DataFrame:
@@ -93,15 +94,21 @@ def fit_gbt(
     prefix is measured, and a shorter model is fitted again with the same seed.
     """
     stages = _stages(labels, key, target, loss, rounds, **settings)
-    prepare = Pipeline(stages=stages[:-1]).fit(_usable(train, target))
-    fit_rows = prepare.transform(_usable(train, target)).select("features", target)
-    val_rows = prepare.transform(_usable(val, target)).select("features", target)
+    ensure_checkpoint_dir(train.sparkSession)
+    prepare = Pipeline(stages=stages[:-1]).fit(train)
     learner = stages[-1]
-    model = learner.fit(fit_rows)
-    errors = model.evaluateEachIteration(val_rows, "absolute")
-    best = min(range(len(errors)), key=errors.__getitem__) + 1
-    if best < len(errors):
-        model = learner.copy({learner.maxIter: best}).fit(fit_rows)
+    # Read once per round: kept in memory or on local disk, recomputed where lost.
+    fit_rows = prepare.transform(_usable(train, target)).select("features", target).persist()
+    val_rows = prepare.transform(_usable(val, target)).select("features", target).persist()
+    try:
+        model = learner.fit(fit_rows)
+        errors = model.evaluateEachIteration(val_rows, "absolute")
+        best = min(range(len(errors)), key=errors.__getitem__) + 1
+        if best < len(errors):
+            model = learner.copy({learner.maxIter: best}).fit(fit_rows)
+    finally:
+        fit_rows.unpersist()
+        val_rows.unpersist()
     return PipelineModel(stages=[*prepare.stages, model]), best
 
 

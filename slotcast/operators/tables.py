@@ -3,7 +3,8 @@
 An upsert touches only the days its rows fall on.  It first writes the new contents of
 those days next to the table's shared scratch space and then swaps them in with a
 dynamic partition overwrite, so no plan overwrites files it is reading, a lost executor
-only costs a retried task, and an interrupted swap can be published again.
+only costs a retried task, and an interrupted swap can be published again.  One writer
+per table at a time.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions.timegrid import instant
 from ..schemas import Layout
 from ..session import shared_folder
+from .clean import latest_per
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -56,10 +58,13 @@ def conform(df: DataFrame, layout: Layout) -> DataFrame:
             error = F.raise_error(F.lit(f"NULL in required column {field.name}"))
             column = F.when(column.isNull(), error).otherwise(column)
         columns.append(column.cast(field.dataType).alias(field.name))
-    out = df.select(*columns)
+    return _with_day(df.select(*columns), layout)
+
+
+def _with_day(df: DataFrame, layout: Layout) -> DataFrame:
     if layout.partition_is_column:
-        return out
-    return out.withColumn(layout.day, F.to_date(layout.time))
+        return df
+    return df.withColumn(layout.day, F.to_date(layout.time))
 
 
 def arrange(df: DataFrame, layout: Layout) -> DataFrame:
@@ -96,14 +101,20 @@ def append(df: DataFrame, path: str, layout: Layout) -> None:
     arrange(conform(df, layout), layout).write.mode("append").partitionBy(layout.day).parquet(path)
 
 
-def upsert_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_rows(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], newest_by: str | None = None
+) -> DataFrame:
     """Rows of ``old`` updated and extended by ``new``; both have unique, non-NULL keys.
 
     With the same columns on both sides this is an anti join and a union: a small batch
     is broadcast after its size is measured and the old rows are not shuffled.  Columns
-    the batch lacks keep their old value on matched rows.
+    the batch lacks keep their old value on matched rows.  ``newest_by`` keeps the old
+    row where it is the newer one, for batches that may arrive out of order.
     """
     keys = list(keys)
+    if newest_by is not None:
+        both = old.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)))
+        return latest_per(both, keys, [newest_by, "_batch"]).drop("_batch")
     if set(old.columns) == set(new.columns):
         return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
     old_rows = old.select(*keys, F.struct(*old.columns).alias("_old"))
@@ -147,48 +158,47 @@ def publish(spark: SparkSession, staged: str, path: str, layout: Layout) -> None
     ).partitionBy(layout.day).parquet(path)
 
 
-def upsert(df: DataFrame, path: str, layout: Layout, keys: Sequence[str] | None = None) -> None:
+def upsert(
+    df: DataFrame,
+    path: str,
+    layout: Layout,
+    keys: Sequence[str] | None = None,
+    newest_by: str | None = None,
+) -> None:
     """Insert or update by key; days without new rows keep their files.
 
-    If the final swap is interrupted, ``publish(spark, staged, path, layout)`` with the
+    The batch is written once and read back, so its source is evaluated only once.  If
+    the final swap is interrupted, ``publish(spark, staged, path, layout)`` with the
     folder named in the error completes it.
     """
     spark = df.sparkSession
     keys = list(keys or layout.upsert_keys)
-    batch = {f.name for f in layout.schema.fields if f.name in df.columns}
-    partial = layout.schema.fieldNames() != [c for c in layout.schema.fieldNames() if c in batch]
     work = shared_folder(spark)
-    named = set(layout.schema.fieldNames())
-    source = df.select(*[c for c in df.columns if c in named])
-    if not partial:
-        check_keys(source, keys)
-        source = conform(source, layout)
-    elif not layout.partition_is_column:
-        source = source.withColumn(layout.day, F.to_date(layout.time))
+    given = [
+        F.col(f.name).cast(f.dataType).alias(f.name)
+        for f in layout.schema.fields
+        if f.name in df.columns
+    ]
+    source = df.select(*given)
     source.write.parquet(f"{work}/batch")
-    batch_rows = spark.read.schema(source.schema).parquet(f"{work}/batch")
-    if partial:
-        check_keys(batch_rows, keys)
+    batch = spark.read.schema(source.schema).parquet(f"{work}/batch")
+    check_keys(batch, keys)
     # One value per calendar day of the batch; the table's own partition list is longer.
-    days = [r[0] for r in batch_rows.select(layout.day).distinct().collect()]
-    if not days:
-        _delete(spark, work)
-        return
-    if exists(spark, path):
-        old = (
-            spark.read.schema(_stored_schema(layout))
-            .parquet(path)
-            .filter(F.col(layout.day).isin(days))
-        )
-    else:
-        old = spark.createDataFrame([], _stored_schema(layout))
-    merged = upsert_rows(old, batch_rows, keys).select(*_stored_schema(layout).fieldNames())
-    arrange(merged, layout).write.partitionBy(layout.day).parquet(f"{work}/merged")
-    try:
-        publish(spark, f"{work}/merged", path, layout)
-    except Exception as error:
-        error.add_note(f"staged days are complete in {work}/merged; publish() them again")
-        raise
+    day = F.col(layout.day) if layout.partition_is_column else F.to_date(layout.time)
+    days = [r[0] for r in batch.select(day).distinct().collect()]
+    if days:
+        if exists(spark, path):
+            stored = spark.read.schema(_stored_schema(layout)).parquet(path)
+            old = stored.filter(F.col(layout.day).isin(days)).select(*layout.schema.fieldNames())
+        else:
+            old = spark.createDataFrame([], layout.schema)
+        merged = conform(upsert_rows(old, batch, keys, newest_by), layout)
+        arrange(merged, layout).write.partitionBy(layout.day).parquet(f"{work}/merged")
+        try:
+            publish(spark, f"{work}/merged", path, layout)
+        except Exception as error:
+            error.add_note(f"staged days are complete in {work}/merged; publish() them again")
+            raise
     _delete(spark, work)
 
 

@@ -23,6 +23,12 @@ def utc(wall: str, zone: str = "Europe/Paris") -> str:
     return f"(({wall}) AT TIME ZONE '{zone}') AT TIME ZONE 'UTC'"
 
 
+def utc_first(wall: str, zone: str = "Europe/Paris") -> str:
+    """The earlier instant where a wall-clock time occurs twice."""
+    early = f"({utc(f'({wall}) - INTERVAL 1 HOUR', zone)} + INTERVAL 1 HOUR)"
+    return f"CASE WHEN {paris(early, zone)} = ({wall}) THEN {early} ELSE {utc(wall, zone)} END"
+
+
 def parts_of(t: str) -> str:
     p = paris(t)
     return (

@@ -11,6 +11,7 @@ from .parts import (
     parts_of,
     rolling,
     utc,
+    utc_first,
     with_parts,
 )
 
@@ -83,7 +84,8 @@ AGES = f"""SELECT name, last_at, (epoch_us({NOW}) - epoch_us(last_at)) / 1e6 AS
 
 CUT = "TIMESTAMP '2024-01-25 01:00:00'"
 
-FOLD_DAYS = f"""SELECT CAST(d AS DATE) AS forecast_date, {utc('d + INTERVAL 2 HOUR')} AS cutoff
+# 02:00 occurs twice on the night the clock goes back; the first one counts.
+FOLD_DAYS = f"""SELECT CAST(d AS DATE) AS forecast_date, {utc_first('d + INTERVAL 2 HOUR')} AS cutoff
     FROM generate_series({{first}}, {{last}}, INTERVAL 1 DAY) t(d)"""
 
 
@@ -339,6 +341,31 @@ SQL = {
         FROM eco""",
     "expire": """SELECT date_heure, region, consommation FROM daily
         WHERE date_heure > TIMESTAMP '2001-08-02' - INTERVAL 730 DAY""",
+    "append_table": "SELECT date_heure, region, consommation, _ingested_at FROM raw",
+    "upsert_table": """SELECT date_heure, region, CASE WHEN dayofmonth(date_heure) >= 15
+        THEN consommation + 1 ELSE consommation END AS consommation, _ingested_at FROM eco""",
+    "table_layout": """SELECT CAST(date_heure AS DATE) AS day, COUNT(*) AS n_rows,
+        COUNT(DISTINCT region) AS n_regions FROM raw GROUP BY 1""",
+    "drop_expired": f"""SELECT date_heure, region, consommation, _ingested_at FROM raw
+        WHERE CAST(date_heure AS DATE) > CAST({NOW} AS DATE) - 10""",
+    "truncate_tables": "SELECT CAST(0 AS BIGINT) AS n_after, COUNT(*) AS n_before FROM raw",
+    "materialize_incremental": "SELECT * FROM features",
+    "write_predictions": """SELECT f.forecast_horizon_dt, f.region,
+        coalesce(f.consommation_lag_24h, f.consommation_lag_48h, r.consommation_rolling_168h) + 1
+          AS predicted_mw, 'naive24' AS model_version, f.forecast_date,
+        TIMESTAMP '2024-01-29 05:00:00' AS forecasted_at
+        FROM frame0 f JOIN roll0 r ON r.forecast_horizon_dt = f.forecast_horizon_dt
+             AND r.region = f.region AND r.forecast_date = f.forecast_date
+        WHERE f.forecast_date = DATE '2024-01-29'""",
+    "run_metrics": f"""SELECT DATE '2024-01-31' AS computed_date, {METRIC}, {NOW} AS _computed_at
+        FROM (SELECT * FROM {RECENT_KEY} UNION ALL SELECT * FROM {RECENT_ALL})""",
+    # streaming, where the end of the input decides
+    "stream_upsert": "SELECT date_heure, region, consommation, _ingested_at FROM eco",
+    "stream_hourly": """SELECT * FROM weather_h WHERE hour_dt + INTERVAL 1 HOUR <= (
+        SELECT max(date_heure) - INTERVAL 6 HOUR FROM weather)""",
+    "stream_dedupe": "SELECT * FROM raw",
+    "stream_metrics": f"""SELECT DATE '2024-01-31' AS computed_date, {METRIC}, {NOW} AS _computed_at
+        FROM (SELECT * FROM {RECENT_KEY} UNION ALL SELECT * FROM {RECENT_ALL})""",
     "expired_days": """SELECT CAST(date_heure AS DATE) AS day, COUNT(*) AS n_rows FROM daily
         WHERE date_heure <= TIMESTAMP '2001-08-02' - INTERVAL 730 DAY GROUP BY 1""",
 }

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar
 from ..functions.timegrid import shift
 from ..grid import HOUR, Grid
-from ..operators.features import join_hourly
+from ..operators.clean import dedupe_latest
+from ..operators.features import hourly_mean, join_hourly
 from ..operators.horizon import (
     ANCHOR_HOUR,
     HISTORY_HOURS,
@@ -18,6 +22,8 @@ from ..operators.horizon import (
     lag_fallback,
     scaffold,
 )
+from ..operators.validate import prediction_rules, validate
+from ..store import Store
 
 
 def known_history(
@@ -97,3 +103,39 @@ def stamp_predictions(
         forecast_date.cast("date").alias("forecast_date"),
         forecasted_at.cast("timestamp").alias("forecasted_at"),
     )
+
+
+def run_forecast(
+    store: Store,
+    grid: Grid,
+    day: str,
+    labels: Sequence[str],
+    score_with: Callable[[DataFrame], DataFrame],
+    model_version: str,
+    forecasted_at: str,
+    exog_at: str = "target_time",
+    steps: int | None = None,
+) -> None:
+    """Forecast one day from the store and upsert the predictions.
+
+    ``score_with`` appends ``predicted_mw``.  The batch is all or nothing: one unknown
+    region or one value that is not positive and finite refuses it.
+    """
+    first = date.fromisoformat(day)
+    history_day = (first - timedelta(days=HISTORY_HOURS // 24 + 1)).isoformat()
+    next_day = (first + timedelta(days=1)).isoformat()
+    keys = store.spark.createDataFrame([(label,) for label in labels], f"{grid.key} string")
+    frame = forecast_frame(
+        dedupe_latest(store.read("consumption", history_day, day), grid, drop_null_value=True),
+        hourly_mean(store.read("weather", (first - timedelta(days=1)).isoformat(), next_day), grid),
+        keys,
+        day,
+        day,
+        grid,
+        exog_at,
+        steps=steps,
+    )
+    rows = stamp_predictions(
+        score_with(frame), grid, F.lit(model_version), F.lit(day), F.lit(forecasted_at)
+    )
+    store.upsert("predictions", validate(rows, prediction_rules(grid.key, labels)))

@@ -3,30 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bindings as b
 from .bindings import AS_OF, DAILY, DAILY_AS_OF, HOURLY, N_KEYS, USERS
 from .functions import calendar as cal
-from .functions import numeric
 from .grid import DAY, Grid
 from .operators import (
     clean,
     evaluation,
     features,
     horizon,
+    learners,
     monitor,
     quality,
     tables,
     training,
     validate,
 )
-from .plans import backtest, feature_job, forecast_job
-from .session import prepare
+from .plans import backtest, feature_job, forecast_job, metrics_job, rebuild, training_job
+from .schemas import CONSUMPTION, WEATHER
+from .session import prepare, shared_folder
 from .sources import dimensions, incremental, landed, periods
+from .store import Store
+from .streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -801,4 +805,252 @@ def expired_days(spark, sf):
     return tables.expired_days(b.daily(spark, sf), "date_heure", DAILY_AS_OF, 730)
 
 
-__all__ = ["QUERIES", "Window", "numeric"]
+# --- tables written and read back --------------------------------------------------------
+
+
+def new_store(spark) -> Store:
+    return Store(spark, shared_folder(spark))
+
+
+@query
+def append_table(spark, sf):
+    store, raw = new_store(spark), b.consumption(spark, sf)
+    early = F.dayofmonth("date_heure") <= 15
+    store.append("consumption", raw.filter(early))
+    store.append("consumption", raw.filter(~early))
+    return store.read("consumption")
+
+
+@query
+def upsert_table(spark, sf):
+    store, rows = new_store(spark), eco(spark, sf)
+    day = F.dayofmonth("date_heure")
+    store.upsert("consumption", rows.filter(day <= 20))
+    changed = rows.filter(day >= 15).withColumn("consommation", F.col("consommation") + 1)
+    store.upsert("consumption", changed)
+    store.upsert("consumption", changed)
+    return store.read("consumption")
+
+
+@query
+def table_layout(spark, sf):
+    """Rows per day folder as written; the folder name is the partition value."""
+    store = new_store(spark)
+    store.append("consumption", b.consumption(spark, sf))
+    files = spark.read.parquet(store.path("consumption"))
+    return files.groupBy("day").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("region").alias("n_regions")
+    )
+
+
+@query
+def drop_expired(spark, sf):
+    """Day folders past a 10-day limit are deleted; the others keep their files."""
+    store = new_store(spark)
+    store.append("consumption", b.consumption(spark, sf))
+    layout = replace(store.layout("consumption"), retention_days=10)
+    tables.drop_expired(spark, store.path("consumption"), layout, AS_OF)
+    return store.read("consumption")
+
+
+@query
+def truncate_tables(spark, sf):
+    store = new_store(spark)
+    store.append("consumption", b.consumption(spark, sf))
+    before = store.read("consumption").count()
+    store.truncate()
+    return store.read("consumption").agg(F.count("*").alias("n_after")).withColumn(
+        "n_before", F.lit(before).cast("long")
+    )
+
+
+@query
+def materialize_incremental(spark, sf):
+    """First run on 20 days, a second one after the rest arrived; equals one full run."""
+    store = new_store(spark)
+    early = F.col("_ingested_at") < F.lit("2024-01-21").cast("timestamp")
+    raw, readings = b.consumption(spark, sf), b.weather(spark, sf)
+    store.append("consumption", raw.filter(early))
+    store.append("weather", readings.filter(early))
+    feature_job.materialize_incremental(
+        store, HOURLY, "2024-01-20T23:59:59.999999", since="2023-12-31T00:00:00"
+    )
+    store.append("consumption", raw.filter(~early))
+    store.append("weather", readings.filter(~early))
+    feature_job.materialize_incremental(store, HOURLY, AS_OF)
+    return store.read("features").drop("_materialized_at")
+
+
+@query
+def write_predictions(spark, sf):
+    """One day forecast from stored tables, validated and upserted."""
+    store = new_store(spark)
+    store.append("consumption", b.consumption(spark, sf))
+    store.append("weather", b.weather(spark, sf))
+    fallback = F.coalesce("consommation_lag_24h", "consommation_rolling_168h")
+    forecast_job.run_forecast(
+        store, HOURLY, "2024-01-29", LABELS,
+        lambda frame: frame.withColumn("predicted_mw", fallback + 1),
+        "naive24", "2024-01-29T05:00:00",
+    )
+    return store.read("predictions")
+
+
+@query
+def run_metrics(spark, sf):
+    store = new_store(spark)
+    store.append("consumption", b.consumption(spark, sf))
+    store.append("predictions", predictions(spark, sf))
+    metrics_job.run_metrics(store, HOURLY, AS_OF, N_KEYS)
+    metrics_job.run_metrics(store, HOURLY, AS_OF, N_KEYS)
+    return rounded(store.read("metrics"))
+
+
+# --- streaming -----------------------------------------------------------------------------
+
+
+def landing(spark, df, files: int = 6) -> tuple[str, str]:
+    """The rows as landed files, and a checkpoint folder next to them."""
+    root = shared_folder(spark)
+    df.repartitionByRange(files, "_ingested_at").write.parquet(f"{root}/landed")
+    return f"{root}/landed", f"{root}/checkpoint"
+
+
+@query
+def stream_upsert(spark, sf):
+    path, checkpoint = landing(spark, b.consumption(spark, sf).drop("event_id"))
+    store = new_store(spark)
+    source = jobs.read_landed(spark, path, CONSUMPTION, files_per_trigger=2)
+    jobs.run_to_end(jobs.stream_upsert(source, store, "consumption", HOURLY, checkpoint))
+    return store.read("consumption")
+
+
+@query
+def stream_hourly(spark, sf):
+    """Hours closed by a watermark of 6 h at the end of the input."""
+    path, checkpoint = landing(spark, b.weather(spark, sf))
+    source = jobs.read_landed(spark, path, WEATHER)
+    out = f"{checkpoint}-out"
+    jobs.run_to_end(jobs.write_files(jobs.stream_hourly(source, HOURLY), out, checkpoint))
+    return spark.read.parquet(out)
+
+
+@query
+def stream_dedupe(spark, sf):
+    """Every record delivered twice; repeats within the watermark are dropped."""
+    raw = b.consumption(spark, sf)
+    path, checkpoint = landing(spark, raw.unionByName(raw))
+    schema = raw.schema
+    source = jobs.read_landed(spark, path, schema)
+    out = f"{checkpoint}-out"
+    once = jobs.stream_dedupe(source, "_ingested_at", ["event_id"])
+    jobs.run_to_end(jobs.write_files(once, out, checkpoint))
+    return spark.read.schema(schema).parquet(out)
+
+
+@query
+def stream_metrics(spark, sf):
+    path, checkpoint = landing(spark, b.consumption(spark, sf).drop("event_id"))
+    store = new_store(spark)
+    store.append("predictions", predictions(spark, sf))
+    source = jobs.read_landed(spark, path, CONSUMPTION, files_per_trigger=3)
+    jobs.run_to_end(jobs.stream_metrics(source, store, HOURLY, AS_OF, N_KEYS, checkpoint))
+    return rounded(store.read("metrics"))
+
+
+# --- learners: checked for rows; trees have no SQL form -------------------------------------
+
+SMALL = {"rounds": 5, "maxDepth": 4, "stepSize": 0.3}
+
+
+def fitted(spark, sf, fit=learners.fit_gbt):
+    split = training.time_split(train_rows(spark, sf), "date_heure").persist()
+    train, val = (split.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
+    model, best = fit(train, val, LABELS, **SMALL)
+    return model, best, val
+
+
+@query
+def fit_gbt(spark, sf):
+    model, best, val = fitted(spark, sf)
+    return learners.validation_metrics(model, val, "consommation").withColumn(
+        "best_round", F.lit(best)
+    )
+
+
+@query
+def fit_alt_learner(spark, sf):
+    model, best, val = fitted(spark, sf, learners.fit_alt_learner)
+    return learners.validation_metrics(model, val, "consommation").withColumn(
+        "best_round", F.lit(best)
+    )
+
+
+@query
+def score(spark, sf):
+    model, _, _ = fitted(spark, sf)
+    return learners.score(model, frame_rows(spark, sf)).select(
+        "forecast_horizon_dt", "region", "forecast_date", "predicted_mw"
+    )
+
+
+@query
+def feature_importance(spark, sf):
+    model, _, _ = fitted(spark, sf)
+    return spark.createDataFrame(learners.feature_importance(model), "feature string, gain double")
+
+
+@query
+def permutation_importance(spark, sf):
+    model, _, val = fitted(spark, sf)
+    return learners.permutation_importance(model, val, ["date_heure", "region"], fraction=1.0)
+
+
+@query
+def run_log(spark, sf):
+    root = shared_folder(spark)
+    training_job.train(train_rows(spark, sf), HOURLY, LABELS, root, AS_OF, **SMALL)
+    return training_job.read_runs(spark, f"{root}/runs")
+
+
+@query
+def walk_forward_gbt(spark, sf):
+    """Weekly refits; each forecasts the day it was fitted for."""
+    store = new_store(spark)
+    history, readings, keys_ = eco(spark, sf), hourly(spark, sf), b.keys(spark, sf)
+
+    def fit(frame):
+        if not training.enough_rows(frame):
+            return None
+        split = training.time_split(frame, "date_heure").persist()
+        train, val = (split.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
+        model = learners.fit_gbt(train, val, LABELS, **SMALL)[0]
+        split.unpersist()
+        return model
+
+    def forecast(day, model):
+        frame = forecast_job.forecast_frame(history, readings, keys_, day, day, HOURLY)
+        return forecast_job.stamp_predictions(
+            learners.score(model, frame), HOURLY, F.lit("gbt"), F.lit(day), F.col("anchor")
+        )
+
+    backtest.walk_forward_model(
+        ["2024-01-15", "2024-01-22", "2024-01-29"],
+        lambda day: train_rows(spark, sf, cutoff=f"{day}T01:00:00"),
+        fit,
+        forecast,
+        lambda rows: store.upsert("predictions", rows),
+    )
+    return store.read("predictions")
+
+
+@query
+def full_rebuild(spark, sf):
+    store = new_store(spark)
+    raw = b.consumption(spark, sf)
+    feeds = [raw.filter(F.col("event_id") % 2 == parity).drop("event_id") for parity in (0, 1)]
+    rebuild.full_rebuild(
+        store, HOURLY, feeds, b.weather(spark, sf), LABELS, "2023-12-31T00:00:00", AS_OF,
+        "2024-01-29", **SMALL,
+    )
+    return store.read("predictions").drop("model_version")

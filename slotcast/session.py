@@ -42,3 +42,9 @@ def shared_folder(spark: SparkSession) -> str:
     if base is None:
         return tempfile.mkdtemp(prefix="slotcast-")
     return f"{base.rstrip('/')}/slotcast-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Iterative fits cut their lineage here; a folder is set only where none is named."""
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
