@@ -36,44 +36,49 @@ def utc_of_local(wall: Column, tz: str) -> Column:
     return F.to_utc_timestamp(wall, tz)
 
 
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter (Meeus/Jones/Butcher), counted as days after 22 March."""
-
-    def div(a: Column, b: int) -> Column:
-        return F.floor(a / F.lit(b)).cast("int")
-
-    century = div(year, 100)
-    skipped_leaps = div(century, 4)
-    moon_shift = div(century - div(century + 8, 25) + 1, 3)
-    golden = year % 19
-    moon = (golden * 19 + century - skipped_leaps - moon_shift + 15) % 30
-    in_century = year % 100
-    weekday = (
-        (century % 4) * 2 + div(in_century, 4) * 2 + 32 - moon - in_century % 4
-    ) % 7
-    late = div(golden + moon * 11 + weekday * 22, 451)
-    return F.date_add(F.make_date(year, F.lit(3), F.lit(22)), moon + weekday - late * 7)
-
-
-def is_holiday(local_date: Column) -> Column:
-    """Is this local date a French public holiday?"""
-    month_day = F.month(local_date) * 100 + F.dayofmonth(local_date)
-    fixed = month_day.isin([m * 100 + d for m, d in FIXED_HOLIDAYS])
-    after_easter = F.date_diff(local_date, easter_sunday(F.year(local_date)))
+def easter_sunday(year: str) -> str:
+    """SQL of Gregorian Easter for an integer SQL expression (Meeus/Jones/Butcher).
+
+    Counted in days after 22 March.
+    """
+    century = f"({year} div 100)"
+    golden = f"({year} % 19)"
+    moon_shift = f"(({century} - ({century} + 8) div 25 + 1) div 3)"
+    moon = f"((19 * {golden} + {century} - {century} div 4 - {moon_shift} + 15) % 30)"
+    rest = f"({year} % 100)"
+    weekday = f"((32 + 2 * ({century} % 4) + 2 * ({rest} div 4) - {moon} - {rest} % 4) % 7)"
+    late = f"(({golden} + 11 * {moon} + 22 * {weekday}) div 451)"
+    return (
+        f"date_add(make_date({year}, 3, 22), CAST({moon} + {weekday} - 7 * {late} AS INT))"
+    )
+
+
+def is_holiday(local_date: str) -> Column:
+    """Is the local date in this column a French public holiday?"""
+    fixed = ", ".join(str(month * 100 + day) for month, day in FIXED_HOLIDAYS)
+    movable = ", ".join(str(days) for days in EASTER_HOLIDAYS)
+    easter = easter_sunday(f"year({local_date})")
     # Easter holidays fall in March to June only; the guard skips the arithmetic.
-    movable = F.month(local_date).between(3, 6) & after_easter.isin(EASTER_HOLIDAYS)
-    return fixed | movable
+    return F.expr(
+        f"month({local_date}) * 100 + day({local_date}) IN ({fixed}) OR"
+        f" (month({local_date}) BETWEEN 3 AND 6"
+        f"  AND date_diff({local_date}, {easter}) IN ({movable}))"
+    )
 
 
 def calendar(df: DataFrame, time: str, tz: str) -> DataFrame:
     """Add hour_of_day, day_of_week (0 = Monday), month, weekend and holiday flags."""
-    wall = local_time(time, tz)
-    return df.withColumns(
-        {
-            "hour_of_day": F.hour(wall).cast("int"),
-            "day_of_week": F.weekday(wall).cast("int"),
-            "month": F.month(wall).cast("int"),
-            "is_weekend": F.weekday(wall) >= 5,
-            "is_public_holiday_fr": is_holiday(F.to_date(wall)),
-        }
+    return (
+        df.withColumn("_wall", local_time(time, tz))
+        .withColumn("_date", F.to_date("_wall"))
+        .withColumns(
+            {
+                "hour_of_day": F.expr("hour(_wall)"),
+                "day_of_week": F.expr("weekday(_date)"),
+                "month": F.expr("month(_date)"),
+                "is_weekend": F.expr("weekday(_date) >= 5"),
+                "is_public_holiday_fr": is_holiday("_date"),
+            }
+        )
+        .drop("_wall", "_date")
     )

@@ -73,9 +73,11 @@ def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     ``rebalance`` lets adaptive execution split a day that holds too much and merge
     days that hold little, so one hot day never becomes one task.
     """
-    return df.hint("rebalance", layout.day).sortWithinPartitions(
-        *dict.fromkeys([layout.day, layout.key, layout.time])
-    )
+    return df.hint("rebalance", layout.day).sortWithinPartitions(*_order(layout))
+
+
+def _order(layout: Layout) -> list[str]:
+    return list(dict.fromkeys([layout.day, layout.key, layout.time]))
 
 
 def read_table(
@@ -153,7 +155,9 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
 def publish(spark: SparkSession, staged: str, path: str, layout: Layout) -> None:
     """Swap staged days into the table; safe to run again after an interruption."""
     days = spark.read.schema(_stored_schema(layout)).parquet(staged)
-    arrange(days, layout).write.mode("overwrite").option(
+    # Staged files are already gathered by day; only the order inside them is kept up.
+    sorted_days = days.sortWithinPartitions(*_order(layout))
+    sorted_days.write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(layout.day).parquet(path)
 

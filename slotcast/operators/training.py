@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar
@@ -77,7 +77,8 @@ def training_frame(
 def time_split(df: DataFrame, time: str, val_fraction: float = VAL_FRACTION) -> DataFrame:
     """Mark rows train or val by a cut of the time range, not of the rows.
 
-    The range is a scalar subquery: two numbers, computed once, no join.
+    The range is a scalar subquery over the same frame: no join and no collected value,
+    but the frame is read twice, so pass one that is stored (``session.stage``).
     """
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     low, high = F.min(micros), F.max(micros)
@@ -88,14 +89,18 @@ def time_split(df: DataFrame, time: str, val_fraction: float = VAL_FRACTION) ->
     )
 
 
-def encode(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Category index from a fixed dimension (NULL if unknown) and flags as integers.
+def encode(df: DataFrame, labels: Sequence[str], key: str) -> DataFrame:
+    """Index of the key in a fixed label list (NULL if unknown) and flags as integers.
 
-    The dimension is not hinted: Spark broadcasts it only when its size is known to fit.
+    The list is a literal, so no dimension is joined.
     """
     flags = [f.name for f in df.schema.fields if f.dataType.typeName() == "boolean"]
-    return df.withColumns({c: F.col(c).cast("int") for c in flags}).join(
-        dimension.select(key, f"{key}_idx"), key, "left"
+    position = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(key)).cast("int")
+    return df.withColumns(
+        {
+            f"{key}_idx": F.nullif(position, F.lit(0)) - 1,
+            **{c: F.col(c).cast("int") for c in flags},
+        }
     )
 
 

@@ -15,6 +15,7 @@ from ..operators.learners import fit_gbt, validation_metrics
 from ..operators.tables import exists
 from ..operators.training import MIN_ROWS, VAL_FRACTION, enough_rows, latest_run, time_split
 from ..schemas import MODEL_FEATURES, RUN_LOG
+from ..session import stage
 
 
 def log_run(spark: SparkSession, path: str, created_at: str, **facts) -> None:
@@ -45,10 +46,11 @@ def train(
 ) -> str | None:
     """Split, fit, store the pipeline under ``root`` and log the run; None below the gate."""
     spark = frame.sparkSession
+    frame = stage(frame)
     if not enough_rows(frame, min_rows):
         return None
     run_id = uuid.uuid4().hex
-    split = time_split(frame, grid.time, val_fraction).cache()
+    split = time_split(frame, grid.time, val_fraction)
     train_rows, val_rows = (split.filter(F.col("split") == s) for s in ("train", "val"))
     model, best = fit_gbt(train_rows, val_rows, labels, grid.key, grid.value, **options)
     counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
@@ -70,7 +72,6 @@ def train(
         val_rmse_mw=quality["rmse"],
         artifact=artifact,
     )
-    split.unpersist()
     return run_id
 
 

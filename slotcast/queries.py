@@ -27,7 +27,7 @@ from .operators import (
 )
 from .plans import backtest, feature_job, forecast_job, metrics_job, rebuild, training_job
 from .schemas import CONSUMPTION, WEATHER
-from .session import prepare, shared_folder
+from .session import prepare, shared_folder, stage
 from .sources import dimensions, incremental, landed, periods
 from .store import Store
 from .streaming import jobs
@@ -125,7 +125,7 @@ def baselines(spark: SparkSession, sf: str) -> DataFrame:
     frame = train_rows(
         spark, sf, required=["consommation_lag_24h", "consommation_lag_168h"]
     )
-    split = training.time_split(frame, "date_heure")
+    split = training.time_split(stage(frame), "date_heure")
     return split.filter(F.col("split") == "val")
 
 
@@ -455,17 +455,14 @@ def training_frame_asof(spark, sf):
 
 @query
 def time_split(spark, sf):
-    return training.time_split(train_rows(spark, sf), "date_heure").select(
+    return training.time_split(stage(train_rows(spark, sf)), "date_heure").select(
         "date_heure", "region", "consommation", "split"
     )
 
 
 @query
 def encode(spark, sf):
-    dim = dimensions.category_index(b.keys(spark, sf), "region").filter(
-        F.col("region") != "view"
-    )
-    return training.encode(feature_rows(spark, sf), dim, "region").select(
+    return training.encode(feature_rows(spark, sf), LABELS[:4], "region").select(
         "date_heure", "region", "region_idx", "is_weekend", "is_public_holiday_fr"
     )
 
@@ -964,7 +961,7 @@ SMALL = {"rounds": 5, "maxDepth": 4, "stepSize": 0.3}
 
 
 def fitted(spark, sf, fit=learners.fit_gbt):
-    split = training.time_split(train_rows(spark, sf), "date_heure").persist()
+    split = training.time_split(stage(train_rows(spark, sf)), "date_heure")
     train, val = (split.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
     model, best = fit(train, val, LABELS, **SMALL)
     return model, best, val
@@ -1020,13 +1017,12 @@ def walk_forward_gbt(spark, sf):
     history, readings, keys_ = eco(spark, sf), hourly(spark, sf), b.keys(spark, sf)
 
     def fit(frame):
+        frame = stage(frame)
         if not training.enough_rows(frame):
             return None
-        split = training.time_split(frame, "date_heure").persist()
+        split = training.time_split(frame, "date_heure")
         train, val = (split.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
-        model = learners.fit_gbt(train, val, LABELS, **SMALL)[0]
-        split.unpersist()
-        return model
+        return learners.fit_gbt(train, val, LABELS, **SMALL)[0]
 
     def forecast(day, model):
         frame = forecast_job.forecast_frame(history, readings, keys_, day, day, HOURLY)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -48,3 +48,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative fits cut their lineage here; a folder is set only where none is named."""
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write a frame once to the shared folder and go on from the files.
+
+    For frames that are expensive and read several times; unlike a cache it survives the
+    loss of executors and cuts the lineage.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
