@@ -303,7 +303,8 @@ SQL = {
     "hour_heatmap": f"""SELECT *, round({HOUR_TOTAL}, 4) AS row_total FROM (
         SELECT region, {HOURS} FROM (SELECT *, hour({paris('forecast_horizon_dt')}) AS h
         FROM predictions) GROUP BY 1)""",
-    "kpi_strip": f"""SELECT m.mae_mw, round(m.p95_error_mw, 4) AS p95_error_mw, m.n_samples,
+    "kpi_strip": f"""SELECT max(m.mae_mw) AS mae_mw, round(max(m.p95_error_mw), 4) AS p95_error_mw,
+        coalesce(max(m.n_samples), 0) AS n_samples,
         (SELECT round(COUNT(*) * 100.0e0 / 120, 1) FROM (SELECT DISTINCT date_heure, region FROM raw
            WHERE date_heure >= TIMESTAMP '2024-01-29 12:00:00')) AS completeness_pct,
         (SELECT {exact_sum('predicted_mw')} FROM predictions WHERE forecast_horizon_dt = (
