@@ -99,6 +99,16 @@ def read_table(
     return df.select(*layout.schema.fieldNames())
 
 
+def _read_days(spark: SparkSession, path: str, layout: Layout, days: Sequence) -> DataFrame:
+    """The given days only; the other folders of the table are not even listed."""
+    folders = [f"{path}/{layout.day}={day}" for day in days]
+    folders = [folder for folder in folders if exists(spark, folder)]
+    if not folders:
+        return spark.createDataFrame([], layout.schema)
+    stored = spark.read.schema(_stored_schema(layout)).option("basePath", path)
+    return stored.parquet(*folders).select(*layout.schema.fieldNames())
+
+
 def append(df: DataFrame, path: str, layout: Layout) -> None:
     arrange(conform(df, layout), layout).write.mode("append").partitionBy(layout.day).parquet(path)
 
@@ -191,11 +201,7 @@ def upsert(
     day = F.col(layout.day) if layout.partition_is_column else F.to_date(layout.time)
     days = [r[0] for r in batch.select(day).distinct().collect()]
     if days:
-        if exists(spark, path):
-            stored = spark.read.schema(_stored_schema(layout)).parquet(path)
-            old = stored.filter(F.col(layout.day).isin(days)).select(*layout.schema.fieldNames())
-        else:
-            old = spark.createDataFrame([], layout.schema)
+        old = _read_days(spark, path, layout, days)
         merged = conform(upsert_rows(old, batch, keys, newest_by), layout)
         arrange(merged, layout).write.partitionBy(layout.day).parquet(f"{work}/merged")
         try:

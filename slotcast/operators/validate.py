@@ -62,6 +62,9 @@ def record_page_rules() -> Rules:
         "time_has_zone": F.forall(
             "results", lambda r: F.coalesce(r["date_heure"].rlike(ZONED), F.lit(False))
         ),
+        "time_parses": F.forall(
+            "results", lambda r: F.try_to_timestamp(r["date_heure"]).isNotNull()
+        ),
         "region_present": F.forall("results", lambda r: r["libelle_region"].isNotNull()),
     }
 
@@ -70,6 +73,7 @@ def record_rules() -> Rules:
     """The same contract for single records; the value may be NULL."""
     return {
         "time_has_zone": F.col("date_heure").rlike(ZONED),
+        "time_parses": F.try_to_timestamp("date_heure").isNotNull(),
         "region_present": F.col("libelle_region").isNotNull(),
     }
 

@@ -64,14 +64,14 @@ def _day(moment) -> str:
 
 
 def changed_range(store: Store, grid: Grid, last_run: datetime) -> tuple | None:
-    """Earliest and latest slot whose record or reading arrived after ``last_run``.
+    """Earliest and latest slot whose record or reading arrived at or after ``last_run``.
 
     Two numbers; the scan reads the time columns of new rows only where row-group
     statistics allow.
     """
     arrived = [
         store.read(name)
-        .filter(F.col(grid.ingested) > F.lit(last_run))
+        .filter(F.col(grid.ingested) >= F.lit(last_run))
         .agg(F.min(grid.time).alias("low"), F.max(grid.time).alias("high"))
         for name in ("consumption", "weather")
     ]

@@ -23,6 +23,7 @@ from ..operators.horizon import (
     scaffold,
 )
 from ..operators.validate import prediction_rules, validate
+from ..session import stage
 from ..store import Store
 
 
@@ -135,7 +136,10 @@ def run_forecast(
         exog_at,
         steps=steps,
     )
-    rows = stamp_predictions(
-        score_with(frame), grid, F.lit(model_version), F.lit(day), F.lit(forecasted_at)
+    # Scored once: the check and the write both read the stored rows.
+    rows = stage(
+        stamp_predictions(
+            score_with(frame), grid, F.lit(model_version), F.lit(day), F.lit(forecasted_at)
+        )
     )
     store.upsert("predictions", validate(rows, prediction_rules(grid.key, labels)))

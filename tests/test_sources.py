@@ -52,6 +52,7 @@ def test_records_are_normalised_to_utc(spark, grid, tmp_path):
     [
         ({"results": [record("2024-06-01T10:00:00")]}, "time_has_zone"),
         ({"results": [record(None)]}, "time_has_zone"),
+        ({"results": [record("yesterday+02:00")]}, "time_parses"),
         ({"total_count": 0}, "results_present"),
         ({"results": [record("2024-06-01T10:00:00Z", None)]}, "region_present"),
     ],

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import pytest
-from conftest import at
 
 from slotcast.operators import validate
 from slotcast.sources.dimensions import REGION_LABELS
@@ -54,4 +53,3 @@ def test_time_zone_forms(spark):
     df = spark.createDataFrame([(t, "X") for t in texts], "date_heure string, libelle_region string")
     good, _ = validate.quarantine(df, validate.record_rules())
     assert {r.date_heure for r in good.collect()} == {t for t, ok in texts.items() if ok}
-    assert at("2024-06-01") is not None
