@@ -19,8 +19,11 @@ from ..functions.timegrid import hour_of, seconds, shift
 from ..grid import DAY, HOUR, Grid
 from ..schemas import WEATHER_MEASURES
 
+# Hours of the lags and of the rolling window.
 LAGS = (24, 48, 168)
 ROLLING_HOURS = 168
+
+# Days per frame; longer blocks copy fewer rows, shorter ones spread a series wider.
 BLOCK_DAYS = 28
 
 

@@ -24,6 +24,7 @@ from .features import (
     rolling_at,
 )
 
+# Distance from feature time to slot, local anchor, history read.
 SHIFT_HOURS = 24
 ANCHOR_HOUR = 6
 HISTORY_HOURS = 216

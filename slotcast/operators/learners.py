@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MODEL_FEATURES
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stage
 from .evaluation import eval_metrics
 
 NUMERIC = [
@@ -29,7 +29,7 @@ NUMERIC = [
 ]
 INTEGER = ["hour_of_day", "day_of_week", "is_weekend", "is_public_holiday_fr", "month"]
 
-# Learner settings; leaf-wise growth with 63 leaves becomes level-wise depth 6.
+# Learner settings; leaf-wise growth with 63 leaves becomes depth 6.
 LEARNER = {
     "maxDepth": 6,
     "stepSize": 0.05,
@@ -152,9 +152,8 @@ def permutation_importance(
     shuffle for all features and repeats, however large the sample.
     """
     lottery = F.pmod(F.xxhash64(*ids, F.lit(seed)), F.lit(1_000_000))
-    sample = val.filter(lottery < int(fraction * 1_000_000)).select(*ids, target, *[
-        c for c in features if c not in ids
-    ])
+    columns = dict.fromkeys([*ids, target, *features])
+    sample = stage(val.filter(lottery < int(fraction * 1_000_000)).select(*columns))
     n_groups = F.greatest(
         F.lit(1), F.floor(sample.agg(F.count("*")).scalar() / F.lit(group_rows))
     )

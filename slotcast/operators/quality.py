@@ -12,6 +12,7 @@ from ..functions.timegrid import instant, shift
 from ..grid import DAY, HOUR, Grid
 from .clean import latest_per
 
+# Evaluation window, publication lag, alert line, label of the total.
 EVAL_DAYS = 7
 PUBLICATION_LAG_HOURS = 2
 MAE_ALERT = 400.0

@@ -14,6 +14,7 @@ from ..schemas import WEATHER_MEASURES
 from .clean import latest_per, null_gate
 from .features import join_hourly
 
+# Horizon, look-back, share of the time range held out, least rows.
 HORIZON_HOURS = 24
 LOOKBACK_DAYS = 730
 VAL_FRACTION = 0.2

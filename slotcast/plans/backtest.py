@@ -17,6 +17,7 @@ from ..operators.training import HORIZON_HOURS, LOOKBACK_DAYS, MIN_ROWS, VAL_FRA
 from ..sources.periods import days_between
 from .forecast_job import forecast_frame, naive_forecast, stamp_predictions
 
+# Fixed value: local hour at which each day's training stops reading.
 TRAIN_HOUR = 2
 
 

@@ -32,12 +32,14 @@ def build_features(
     tiebreak: Sequence[str] = (),
     lags: Sequence[int] = LAGS,
     rolling: int = ROLLING_HOURS,
+    deduplicate: bool = True,
 ) -> DataFrame:
     """Feature rows with ``since < t <= until``.
 
     The input is bounded by hand to ``since`` minus the longest look-back, because a
     filter on the ordering column must not move below a window; those history rows
-    feed the lags and are not emitted.  Column order follows the features schema.
+    feed the lags and are not emitted.  ``deduplicate=False`` saves one shuffle of the
+    raw rows where a keyed upsert is their only writer.
     """
     reach = max([*lags, rolling]) * HOUR
     if since is not None:
@@ -47,7 +49,9 @@ def build_features(
     if until is not None:
         raw = raw.filter(F.col(grid.time) <= instant(until))
         weather = weather.filter(F.col(grid.time) < shift(instant(until), HOUR))
-    slots = dedupe_latest(raw, grid, tiebreak).select(*grid.keys, grid.value)
+    if deduplicate:
+        raw = dedupe_latest(raw, grid, tiebreak)
+    slots = raw.select(*grid.keys, grid.value)
     rows = history_features(slots, grid, lags, rolling, keep_block=True)
     if since is not None:
         rows = rows.filter(F.col(grid.time) > instant(since))
@@ -87,6 +91,7 @@ def materialize_incremental(
     as_of: str,
     since: str | None = None,
     mode: str = "changed",
+    deduplicate: bool = True,
 ) -> None:
     """Compute and upsert the feature rows that new data can have changed.
 
@@ -124,5 +129,6 @@ def materialize_incremental(
         grid,
         since,
         None if until is None else _text(until),
+        deduplicate=deduplicate,
     )
     store.upsert("features", rows.withColumn("_materialized_at", instant(as_of)))

@@ -11,6 +11,7 @@ from ..functions.timegrid import instant, shift
 from ..grid import DAY, HOUR, Grid
 from ..operators.clean import latest_per, time_range
 
+# Re-read overlap, first-run look-back, correction window.
 OVERLAP_HOURS = 6
 DEFAULT_LOOKBACK_DAYS = 7
 REFRESH_HOURS = 168

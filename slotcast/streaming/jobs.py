@@ -20,6 +20,7 @@ from ..plans.metrics_job import run_metrics
 from ..schemas import WEATHER_MEASURES
 from ..store import Store
 
+# Fixed value: how late a row may be.
 LATE = "6 hours"
 
 
