@@ -91,33 +91,36 @@ def aligned_history(
     rolling: int | None = ROLLING_HOURS,
     gap: int | None = None,
     block_days: int = BLOCK_DAYS,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Lags and rolling mean at T = slot - ``shift_hours`` for each scaffold row.
 
-    ``history`` has unique (slot, key).  The scaffold rows carry no value, so they
-    never enter a frame; they are dropped into their own block only.
+    ``history`` has unique (slot, key), or unique (slot, key, *by) where every row sees
+    only the history with its own ``by`` values.  The scaffold rows carry no value, so
+    they never enter a frame; they are dropped into their own block only.
     """
     gap = grid.step if gap is None else gap
     block = block_days * DAY
     reach = max([*lags, rolling or 0]) * HOUR
-    past = history_blocks(history.select(*grid.keys, grid.value), grid.time, reach, block)
-    payload = F.struct(*[c for c in slots.columns if c != grid.key])
+    group = [grid.key, *by]
+    past = history_blocks(history.select(*group, grid.time, grid.value), grid.time, reach, block)
+    payload = F.struct(*[c for c in slots.columns if c not in group])
     asked = (
-        slots.select(grid.key, payload.alias("_slot"))
+        slots.select(*group, payload.alias("_slot"))
         .withColumn("_secs", seconds("_slot.forecast_horizon_dt") - shift_hours * HOUR)
         .withColumn("_block", block_of(F.col("_secs"), block))
     )
-    union = past.select(grid.key, "_block", "_secs", grid.value).unionByName(
+    union = past.select(*group, "_block", "_secs", grid.value).unionByName(
         asked, allowMissingColumns=True
     )
-    base = Window.partitionBy(grid.key, "_block").orderBy("_secs")
+    base = Window.partitionBy(*group, "_block").orderBy("_secs")
     added = {grid.lag_name(h): lag_at(grid.value, base, h) for h in lags}
     if rolling:
         added[grid.rolling_name(rolling)] = rolling_at(grid.value, base, rolling, gap, grid.scale)
     return (
         union.withColumns(added)
         .filter(F.col("_slot").isNotNull())
-        .select("_slot.*", grid.key, *added)
+        .select("_slot.*", *group, *added)
     )
 
 

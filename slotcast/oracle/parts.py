@@ -148,6 +148,32 @@ CTES = {
              AND e.date_heure >= s.forecast_horizon_dt - INTERVAL 192 HOUR
              AND e.date_heure <= s.forecast_horizon_dt - INTERVAL 25 HOUR
         GROUP BY 1, 2, 3""",
+    "known": """
+        SELECT * EXCLUDE (rn) FROM (
+          SELECT a.forecast_date, r.date_heure, r.region, r.consommation, row_number() OVER (
+                 PARTITION BY a.forecast_date, r.date_heure, r.region
+                 ORDER BY r._ingested_at DESC, r.event_id DESC) AS rn
+          FROM (SELECT DISTINCT forecast_date, anchor FROM slots) a JOIN raw r
+            ON r.date_heure >= a.anchor - INTERVAL 216 HOUR AND r.date_heure < a.anchor
+           AND r._ingested_at + INTERVAL 30 HOUR <= a.anchor) WHERE rn = 1""",
+    "known_frame": """
+        SELECT s.*, k.region, a.consommation AS l24, b.consommation AS l48,
+               c.consommation AS l168
+        FROM slots s CROSS JOIN keys k
+        LEFT JOIN known a ON a.region = k.region AND a.forecast_date = s.forecast_date
+             AND a.date_heure = s.forecast_horizon_dt - INTERVAL 48 HOUR
+        LEFT JOIN known b ON b.region = k.region AND b.forecast_date = s.forecast_date
+             AND b.date_heure = s.forecast_horizon_dt - INTERVAL 72 HOUR
+        LEFT JOIN known c ON c.region = k.region AND c.forecast_date = s.forecast_date
+             AND c.date_heure = s.forecast_horizon_dt - INTERVAL 192 HOUR""",
+    "known_roll": f"""
+        SELECT s.forecast_horizon_dt, s.forecast_date, k.region,
+               {exact_mean('e.consommation')} AS consommation_rolling_168h
+        FROM slots s CROSS JOIN keys k LEFT JOIN known e ON e.region = k.region
+             AND e.forecast_date = s.forecast_date
+             AND e.date_heure >= s.forecast_horizon_dt - INTERVAL 192 HOUR
+             AND e.date_heure <= s.forecast_horizon_dt - INTERVAL 25 HOUR
+        GROUP BY 1, 2, 3""",
     "predictions": """
         SELECT forecast_horizon_dt, region,
                COALESCE(consommation_lag_24h, consommation_lag_48h) AS predicted_mw,

@@ -220,6 +220,13 @@ SQL = {
         FROM frame0 f JOIN roll0 r ON r.forecast_horizon_dt = f.forecast_horizon_dt
              AND r.region = f.region AND r.forecast_date = f.forecast_date
         LEFT JOIN weather_h w ON w.region = f.region AND w.hour_dt = f.forecast_horizon_dt""",
+    "forecast_frame_as_known": f"""SELECT f.forecast_date, f.anchor, f.forecast_horizon_dt,
+        f.region, coalesce(f.l24, f.l48) AS consommation_lag_24h, f.l48 AS consommation_lag_48h,
+        f.l168 AS consommation_lag_168h, r.consommation_rolling_168h,
+        f.l24 IS NULL AND f.l48 IS NOT NULL AS used_fallback, {FRAME_TAIL}
+        FROM known_frame f JOIN known_roll r ON r.forecast_horizon_dt = f.forecast_horizon_dt
+             AND r.region = f.region AND r.forecast_date = f.forecast_date
+        LEFT JOIN weather_h w ON w.region = f.region AND w.hour_dt = f.forecast_horizon_dt""",
     "naive_forecast": "SELECT * FROM predictions",
     # training
     "training_frame": "SELECT * FROM train",

@@ -179,14 +179,19 @@ def walk_forward_naive(
     folds: DataFrame | None = None,
     lag_column: str | None = None,
     exog_at: str = "target_time",
+    as_known: bool = False,
 ) -> DataFrame:
     """Baseline predictions of every day of a range in one plan.
 
+    With ``as_known``, ``history`` is the raw records and each day uses only what had
+    arrived by its anchor; otherwise final values are used up to the anchor.
     Days that fail the training gate of ``folds`` are left out.  Where two days predict
     the same slot (the spring clock change) the later day wins, as upserts in day order
     would leave it.
     """
-    frame = forecast_frame(history, hourly, keys, first_day, last_day, grid, exog_at)
+    frame = forecast_frame(
+        history, hourly, keys, first_day, last_day, grid, exog_at, as_known=as_known
+    )
     if folds is not None:
         frame = frame.join(folds.filter("fit").select("forecast_date"), "forecast_date", "left_semi")
     scored = naive_forecast(frame, lag_column or grid.lag_name(24))

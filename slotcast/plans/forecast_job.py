@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import calendar
 from ..functions.timegrid import shift
 from ..grid import HOUR, Grid
-from ..operators.clean import dedupe_latest
+from ..operators.clean import dedupe_latest, latest_per
 from ..operators.features import hourly_mean, join_hourly
 from ..operators.horizon import (
     ANCHOR_HOUR,
@@ -24,6 +24,7 @@ from ..operators.horizon import (
 )
 from ..operators.validate import prediction_rules, validate
 from ..session import stage
+from ..sources.periods import days_between
 from ..store import Store
 
 
@@ -53,6 +54,38 @@ def known_history(
     )
 
 
+def history_as_known(
+    raw: DataFrame,
+    first_day: str,
+    last_day: str,
+    grid: Grid,
+    anchor_hour: int = ANCHOR_HOUR,
+    lookback_hours: int = HISTORY_HOURS,
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """For each forecast day, the series as it stood at that day's anchor.
+
+    A record counts for the days whose look-back holds its slot (at most
+    ``lookback_hours / 24 + 1``) if it had arrived by then, so later corrections and late
+    publishers do not leak into a backtest.
+    """
+    first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
+    low = F.greatest(F.date_sub(F.to_date(grid.time), 1), first)
+    high = F.least(F.date_add(F.to_date(grid.time), lookback_hours // 24 + 2), last)
+    anchor = anchor_of(F.col("forecast_date"), grid.tz, anchor_hour)
+    seen = (
+        raw.filter((low <= high) & F.col(grid.value).isNotNull())
+        .withColumn("forecast_date", F.explode(days_between(low, high)))
+        .filter(
+            (F.col(grid.time) >= shift(anchor, -lookback_hours * HOUR))
+            & (F.col(grid.time) < anchor)
+            & (F.col(grid.ingested) <= anchor)
+        )
+    )
+    order = [grid.ingested, *(tiebreak or [grid.value])]
+    return latest_per(seen, ["forecast_date", *grid.keys], order)
+
+
 def forecast_frame(
     history: DataFrame,
     hourly: DataFrame,
@@ -64,19 +97,29 @@ def forecast_frame(
     anchor_hour: int = ANCHOR_HOUR,
     steps: int | None = None,
     publication_lag_hours: int = 0,
+    as_known: bool = False,
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Model inputs for every (day, slot, key).
 
-    ``history`` has unique (slot, key).  ``exog_at`` says where weather and calendar
+    ``history`` has unique (slot, key); with ``as_known`` it is the raw records and each
+    day sees only what had arrived by its anchor.  ``exog_at`` says where weather and calendar
     are read: at the slot ('target_time', also 'reference') or at T = slot - 24 h
     ('feature_time'); training must use the same setting.
     """
-    known = known_history(
-        history, first_day, last_day, grid, anchor_hour,
-        publication_lag_hours=publication_lag_hours,
-    )
     slots = scaffold(keys, first_day, last_day, grid, anchor_hour, steps)
-    rows = lag_fallback(aligned_history(slots, known, grid), grid)
+    if as_known:
+        known = history_as_known(
+            history, first_day, last_day, grid, anchor_hour, tiebreak=tiebreak
+        )
+        aligned = aligned_history(slots, known, grid, by=("forecast_date",))
+    else:
+        known = known_history(
+            history, first_day, last_day, grid, anchor_hour,
+            publication_lag_hours=publication_lag_hours,
+        )
+        aligned = aligned_history(slots, known, grid)
+    rows = lag_fallback(aligned, grid)
     back = SHIFT_HOURS * HOUR if exog_at == "feature_time" else 0
     rows = rows.withColumn("_exog_at", shift("forecast_horizon_dt", -back))
     rows = join_hourly(rows, hourly, grid, at="_exog_at")

@@ -435,6 +435,16 @@ def forecast_frame(spark, sf):
     return frame_rows(spark, sf)
 
 
+@query
+def forecast_frame_as_known(spark, sf):
+    """Records arrive 30 h late; each day is forecast with what had arrived by its anchor."""
+    late = F.col("_ingested_at") + F.expr("INTERVAL 30 HOUR")
+    return forecast_job.forecast_frame(
+        b.consumption(spark, sf).withColumn("_ingested_at", late), hourly(spark, sf),
+        b.keys(spark, sf), FIRST_DAY, LAST_DAY, HOURLY, as_known=True, tiebreak=TIE,
+    )
+
+
 @query
 def naive_forecast(spark, sf):
     return predictions(spark, sf)

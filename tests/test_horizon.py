@@ -10,7 +10,7 @@ from slotcast.bindings import HOURLY
 from slotcast.grid import Grid
 from slotcast.operators import horizon
 from slotcast.operators.features import history_features
-from slotcast.plans.forecast_job import forecast_frame, known_history
+from slotcast.plans.forecast_job import forecast_frame, history_as_known, known_history
 
 
 def hourly_rows(series, days=30, keep=0.85, keys=("A", "B")):
@@ -121,3 +121,22 @@ def test_history_after_the_anchor_is_not_used(spark, series):
         history, "2024-03-25", "2024-03-25", HOURLY, publication_lag_hours=7
     )
     assert late.agg(F.max("date_heure")).first()[0] < at("2024-03-24T22:00:00")
+
+
+def test_a_correction_after_the_anchor_is_not_known(series):
+    """06:00 in Paris on 25 March 2024 is 05:00 UTC."""
+    raw = series(
+        [
+            ("2024-03-24T00:00:00", "A", 1.0, "2024-03-24T01:00:00"),
+            ("2024-03-24T00:00:00", "A", 9.0, "2024-03-25T05:00:01"),
+            ("2024-03-24T23:00:00", "A", 5.0, "2024-03-25T06:00:00"),
+            ("2024-03-01T00:00:00", "A", 7.0, "2024-03-01T01:00:00"),
+        ]
+    )
+    rows = history_as_known(raw, "2024-03-25", "2024-03-26", HOURLY).collect()
+    known = {(str(r.forecast_date), r.date_heure): r.consommation for r in rows}
+    assert known == {
+        ("2024-03-25", at("2024-03-24T00:00:00")): 1.0,
+        ("2024-03-26", at("2024-03-24T00:00:00")): 9.0,
+        ("2024-03-26", at("2024-03-24T23:00:00")): 5.0,
+    }
