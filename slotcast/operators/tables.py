@@ -15,27 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..files import delete, exists, located
 from ..functions.timegrid import instant
 from ..schemas import Layout
 from ..session import shared_folder
 from .clean import latest_per
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    files, location = _hadoop_path(spark, path)
-    return files.exists(location)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    files, location = _hadoop_path(spark, path)
-    files.delete(location, True)
-
-
 def _stored_schema(layout: Layout) -> T.StructType:
     if layout.partition_is_column:
         return layout.schema
@@ -209,7 +195,7 @@ def upsert(
         except Exception as error:
             error.add_note(f"staged days are complete in {work}/merged; publish() them again")
             raise
-    _delete(spark, work)
+    delete(spark, work)
 
 
 def expire(df: DataFrame, time: str, as_of: str, days: int | None) -> DataFrame:
@@ -234,7 +220,7 @@ def drop_expired(spark: SparkSession, path: str, layout: Layout, as_of: str) ->
     """Delete the folders of expired days; no data file is read or rewritten."""
     if layout.retention_days is None:
         return []
-    files, location = _hadoop_path(spark, path)
+    files, location = located(spark, path)
     limit = spark.range(1).select(
         F.date_sub(F.to_date(instant(as_of)), layout.retention_days).cast("string")
     ).first()[0]

@@ -23,7 +23,7 @@ from ..operators.horizon import (
     scaffold,
 )
 from ..operators.validate import prediction_rules, validate
-from ..session import stage
+from ..session import staged
 from ..sources.periods import days_between
 from ..store import Store
 
@@ -180,9 +180,8 @@ def run_forecast(
         steps=steps,
     )
     # Scored once: the check and the write both read the stored rows.
-    rows = stage(
-        stamp_predictions(
-            score_with(frame), grid, F.lit(model_version), F.lit(day), F.lit(forecasted_at)
-        )
+    scored = stamp_predictions(
+        score_with(frame), grid, F.lit(model_version), F.lit(day), F.lit(forecasted_at)
     )
-    store.upsert("predictions", validate(rows, prediction_rules(grid.key, labels)))
+    with staged(scored) as rows:
+        store.upsert("predictions", validate(rows, prediction_rules(grid.key, labels)))

@@ -9,13 +9,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..files import exists
 from ..functions.timegrid import instant
 from ..grid import Grid
 from ..operators.learners import fit_gbt, validation_metrics
-from ..operators.tables import exists
 from ..operators.training import MIN_ROWS, VAL_FRACTION, enough_rows, latest_run, time_split
 from ..schemas import MODEL_FEATURES, RUN_LOG
-from ..session import stage
+from ..session import staged
 
 
 def log_run(spark: SparkSession, path: str, created_at: str, **facts) -> None:
@@ -45,10 +45,22 @@ def train(
     **options,
 ) -> str | None:
     """Split, fit, store the pipeline under ``root`` and log the run; None below the gate."""
+    with staged(frame) as rows:
+        if not enough_rows(rows, min_rows):
+            return None
+        return _train(rows, grid, labels, root, created_at, val_fraction, options)
+
+
+def _train(
+    frame: DataFrame,
+    grid: Grid,
+    labels: Sequence[str],
+    root: str,
+    created_at: str,
+    val_fraction: float,
+    options: dict,
+) -> str:
     spark = frame.sparkSession
-    frame = stage(frame)
-    if not enough_rows(frame, min_rows):
-        return None
     run_id = uuid.uuid4().hex
     split = time_split(frame, grid.time, val_fraction)
     train_rows, val_rows = (split.filter(F.col("split") == s) for s in ("train", "val"))

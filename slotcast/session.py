@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import delete
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings that change results or plans; all are runtime settings.
@@ -54,9 +58,22 @@ def stage(df: DataFrame) -> DataFrame:
     """Write a frame once to the shared folder and go on from the files.
 
     For frames that are expensive and read several times; unlike a cache it survives the
-    loss of executors and cuts the lineage.
+    loss of executors and cuts the lineage.  The files stay: where the frame is done with
+    inside one function, use ``staged``.
     """
-    spark = df.sparkSession
-    path = shared_folder(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _write(df, shared_folder(df.sparkSession))
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """Like ``stage``, and the files are removed at the end of the block."""
+    path = shared_folder(df.sparkSession)
+    try:
+        yield _write(df, path)
+    finally:
+        delete(df.sparkSession, path)
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

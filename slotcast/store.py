@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import exists
 from .operators import tables
 from .schemas import TABLES, Layout
 
@@ -40,5 +41,5 @@ class Store:
         return {
             name: tables.drop_expired(self.spark, self.path(name), layout, as_of)
             for name, layout in TABLES.items()
-            if tables.exists(self.spark, self.path(name))
+            if exists(self.spark, self.path(name))
         }

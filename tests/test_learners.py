@@ -96,3 +96,15 @@ def test_train_stores_logs_and_reloads(spark, frame, grid, tmp_path):
 def test_gate_refuses_small_frames(frame, grid, tmp_path):
     small = frame.limit(199)
     assert training_job.train(small, grid, LABELS, str(tmp_path), "2024-02-01T00:00:00") is None
+
+
+def test_the_best_prefix_is_kept(frame):
+    """On noise the first rounds are the best ones; the stored model has just those."""
+    noise = frame.withColumn("consommation", F.abs(F.hash("date_heure", "region")) % 1000 + 0.0)
+    train = noise.filter("date_heure < timestamp'2024-01-15'")
+    val = noise.filter("date_heure >= timestamp'2024-01-15'")
+    model, best = learners.fit_gbt(
+        train, val, LABELS, rounds=12, maxDepth=6, stepSize=1.0, subsamplingRate=1.0
+    )
+    assert best < 12
+    assert model.stages[-1].getNumTrees == best
