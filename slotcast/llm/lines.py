@@ -74,7 +74,7 @@ def _described(least: int):
                 chosen = {minimum(digests, s, e) for s, e, _ in stretches(words, least)}
                 values = (
                     row, doc_id, text.count(b"\n") + 1 if text else 0, [p[0] for p in parts], b"".join(digests), words,
-                    sorted({int.from_bytes(digests[i][:8], "big", signed=True) for i in chosen}),
+                    [int.from_bytes(digests[i][:8], "big", signed=True) for i in sorted(chosen)],
                 )
                 for column, value in zip(out, values):
                     column.append(value)
