@@ -36,7 +36,6 @@ HOT_MIN, HOT_MAX = 64, 150_000
 #: Members of a frequent shingle's list that one group holds on average.
 HOT_GROUP = 500
 BITS = 1024
-CACHE = 500_000
 
 
 def needed(m: int, n: int) -> int:
@@ -54,18 +53,10 @@ def prefix_size(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 _STEP, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def shingle_set(text: bytes, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: bytes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a text.
 
     Fewer than five words are one shingle as a whole; no word, no shingle.
@@ -74,17 +65,18 @@ def shingle_set(text: bytes, hashes: WordHashes) -> np.ndarray:
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
     width = min(n, WIDTH)
     s = np.full(n - width + 1, width, np.uint64)
     for k in range(width):
         s = (s ^ (s >> np.uint64(29))) * _STEP + h[k : n - width + 1 + k]
     s = (s ^ (s >> np.uint64(32))) * _LAST
-    return np.unique(s ^ (s >> np.uint64(29)))
+    s = np.sort(s ^ (s >> np.uint64(29)))
+    return s[np.r_[True, s[1:] != s[:-1]]]
 
 
 def _frequent(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, held, size = WordHashes(), [], 0
+    held, size = [], 0
 
     def counted() -> pa.RecordBatch:
         values, n = np.unique(np.concatenate(held), return_counts=True)
@@ -95,7 +87,7 @@ def _frequent(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in frames:
         for text in columns(batch, "text")[0]:
-            held.append(shingle_set(text, hashes))
+            held.append(shingle_set(text))
             size += len(held[-1])
             if size > 4_000_000:
                 yield counted()
@@ -128,26 +120,26 @@ SETS = pa.schema(
         ("set_key", pa.binary()),
         ("tokens", pa.list_(pa.int64())),
         ("groups", pa.list_(pa.int32())),
-        ("sketch", pa.binary()),
+        ("sketch", pa.list_(pa.int64())),
     ]
 )
-SETS_DDL = "doc_id long, n_shingles long, set_key binary, tokens array<long>, groups array<int>, sketch binary"
+SETS_DDL = "doc_id long, n_shingles long, set_key binary, tokens array<long>, groups array<int>, sketch array<long>"
 
 
 def _described(hot_hash: np.ndarray, hot_count: np.ndarray):
     """Task that describes each document's set.
 
     tokens: the rarest shingles as far as the prefix goes, of small sets all; groups: into
-    how many parts a frequent shingle's list is split, 0 for others; sketch: for each of
+    how many parts a frequent shingle's list is split, a power of two, so that sets that share
+    many of them meet the same few first members, 0 for others; sketch: for each of
     1,024 classes of shingles whether their number is odd.
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in frames:
             out: list[list] = [[] for _ in SETS]
             for doc_id, text in zip(*columns(batch, "doc_id", "text")):
-                s = shingle_set(text, hashes)
+                s = shingle_set(text)
                 n = len(s)
                 key = blake2b(s.tobytes(), digest_size=16).digest() if n else None
                 count = np.zeros(n, np.int64)
@@ -157,9 +149,10 @@ def _described(hot_hash: np.ndarray, hot_count: np.ndarray):
                 order = np.argsort(count, kind="stable")
                 if n > LIGHT_MAX:
                     order = order[: prefix_size(n)]
-                odd = np.bincount((s >> np.uint64(7)).astype(np.int64) % BITS, minlength=BITS) & 1
-                groups = -(-count[order] // HOT_GROUP)
-                values = (doc_id, n, key, s[order].view(np.int64), groups.astype(np.int32), np.packbits(odd).tobytes())
+                odd = np.bincount((s >> np.uint64(7)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1
+                parts = -(-count[order] // HOT_GROUP)
+                groups = np.where(parts > 0, 2 ** np.ceil(np.log2(np.maximum(parts, 1))), 0)
+                values = (doc_id, n, key, s[order].view(np.int64), groups.astype(np.int32), np.packbits(odd).view(np.int64))
                 for column, value in zip(out, values):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(out, SETS)], schema=SETS)
@@ -222,56 +215,44 @@ def light_links(sets: DataFrame, limit: int) -> DataFrame:
     return listed.select("key", F.col("id").alias("a")).join(first, "key").where("a <> b").select("a", "b").distinct()
 
 
-def _can_link(n: str, m: str) -> str:
-    return f"{DEN} * least({n}, {m}) >= {NUM} * greatest({n}, {m})"
+def _differ(left: str, right: str) -> str:
+    """Classes of shingles whose parity differs: each holds a shingle of one set only."""
+    return " + ".join(f"bit_count({left}[{k}] ^ {right}[{k}])" for k in range(BITS // 64))
+
 
+def _may_link(n: str, m: str, left: str, right: str) -> str:
+    """What sizes and sketches say; sets that are similar differ in so many shingles at most."""
+    total = f"({n} + {m})"
+    allowed = f"{total} - 2 * (({NUM} * {total} + {NUM + DEN - 1}) div {NUM + DEN})"
+    return f"{DEN} * least({n}, {m}) >= {NUM} * greatest({n}, {m}) and {_differ(left, right)} <= {allowed}"
 
-def _near_sketches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sets may be similar: a class whose parity differs holds a shingle of one
-    set only, so more such classes than similar sets can differ in rule the pair out."""
+
+def _packed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in frames:
-        size = batch.num_rows
-        if not size:
-            continue
-        a, b, n, m, left, right = (batch.column(k) for k in range(6))
-        bits = [np.frombuffer(b"".join(x.to_pylist()), np.uint64).reshape(size, BITS // 64) for x in (left, right)]
-        differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1)
-        total = n.to_numpy() + m.to_numpy()
-        allowed = total - 2 * (-(-NUM * total // (NUM + DEN)))
-        keep = pa.array(differ <= allowed)
-        yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
+        sets = [shingle_set(t).tobytes() for t in columns(batch, "text")[0]]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
 
 
 def _verify(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    last, held = None, np.empty(0, np.uint64)
     for batch in frames:
         out_a, out_b = [], []
         for a, b, left, right in zip(*columns(batch, "a", "b", "left", "right")):
-            if right != last:
-                last, held = right, shingle_set(right, hashes)
-            s = shingle_set(left, hashes)
-            both = len(np.intersect1d(s, held, assume_unique=True))
-            if DEN * both >= NUM * (len(s) + len(held) - both):
+            both = np.sort(np.frombuffer(left + right, np.uint64), kind="stable")
+            same = int((both[1:] == both[:-1]).sum())
+            if DEN * same >= NUM * (len(both) - same):
                 out_a.append(a)
                 out_b.append(b)
         yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar: sketches first, then the whole texts."""
-    sketch = sets.select("id", "n", "sketch")
-    near = stage(
-        pairs.join(sketch.toDF("a", "n", "left"), "a")
-        .join(sketch.toDF("b", "m", "right"), "b")
-        .select("a", "b", "n", "m", "left", "right")
-        .mapInArrow(_near_sketches, "a long, b long")
-    )
+def verified(near: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar."""
     wanted = stage(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct())
-    texts = stage(docs.join(wanted, "doc_id", "left_semi"))
+    found = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+    full = stage(found.mapInArrow(_packed, "id long, shingles binary"))
     both = (
-        near.join(texts.toDF("a", "left"), "a")
-        .join(texts.toDF("b", "right"), "b")
+        near.join(full.toDF("a", "left"), "a")
+        .join(full.toDF("b", "right"), "b")
         .select("a", "b", "left", "right")
     )
     return stage(both.mapInArrow(_verify, "a long, b long").distinct())
@@ -300,37 +281,46 @@ def heavy_links(sets: DataFrame, limit: int, docs: DataFrame) -> DataFrame:
         .where((F.col("k") > 1) | F.col("hot"))
         .drop("k")
     )
-    over = f"greatest(n, m) > {limit} and " + _can_link("n", "m")
     firsts = (
         members.where("hot")
-        .groupBy("token", "part", "first")
-        .agg(F.lit(1))
+        .select("token", "first")
+        .distinct()
         .join(members.where("hot").groupBy("token").agg(F.min("first").alias("top")), "token")
         .select(F.col("first.id").alias("a"), F.col("first.n").alias("n"), F.col("top.id").alias("b"), F.col("top.n").alias("m"))
     )
     stars = (
         members.select(F.col("id").alias("a"), "n", F.col("first.id").alias("b"), F.col("first.n").alias("m"))
         .union(firsts)
-        .where(f"a <> b and {over}")
-        .select("a", "b")
+        .where(f"a <> b and greatest(n, m) > {limit} and {DEN} * least(n, m) >= {NUM} * greatest(n, m)")
         .distinct()
     )
-    links = verified(stars, sets, docs)
+    sketch = sets.select("id", "sketch")
+    stars = stage(
+        stars.join(sketch.toDF("a", "left"), "a")
+        .join(sketch.toDF("b", "right"), "b")
+        .where(_may_link("n", "m", "left", "right"))
+        .select("a", "b")
+    )
+    links = verified(stars, docs)
     joined = components(links)
     rest = members.drop("first", "part", "hot").join(joined.withColumnRenamed("node", "id"), "id", "left")
     rest = rest.withColumn("component", F.coalesce("component", "id"))
     mixed = rest.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = stage(rest.join(mixed.select("token"), "token"))
-    other = rest.select("token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("component").alias("c"))
+    rest = stage(rest.join(mixed.select("token"), "token").join(sketch, "id"))
+    other = rest.select(
+        "token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"),
+        F.col("component").alias("c"), F.col("sketch").alias("right"),
+    )
     bound = f"least(n - pos, m - at) >= (({NUM} * (n + m) + {NUM + DEN - 1}) div {NUM + DEN})"
     pairs = (
         rest.join(other, "token")
-        .where(f"id < b and component <> c and {over} and {bound}")
+        .where(f"id < b and component <> c and greatest(n, m) > {limit} and {bound} and " + _may_link("n", "m", "sketch", "right"))
         .select(F.col("id").alias("a"), "b")
         .distinct()
     )
-    pairs = stage(pairs.join(stars.toDF("b", "a"), ["a", "b"], "left_anti").join(stars, ["a", "b"], "left_anti"))
-    return links.union(verified(pairs, sets, docs))
+    tried = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"))
+    return links.union(verified(pairs, docs))
 
 
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
