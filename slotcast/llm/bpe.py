@@ -13,14 +13,17 @@ from functools import lru_cache
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import plain_docs, settings
-from .pretokens import SPECIAL, Remembered, pretokens, special_parts, units
+from .pretokens import SPECIAL, Remembered, piece, pretokens, special_parts, units
 
 VOCABULARY = "byte_bpe_50k.json"
+#: Distinct pre-tokens that share one index.
+BLOCK = 4096
 
 
 def byte_letters() -> dict[str, int]:
@@ -40,64 +43,75 @@ class Encoder:
         self.content = {i: bytes(letters[c] for c in token) for token, i in vocabulary.items() if token not in self.special}
         self.content |= {i: token.encode() for token, i in self.special.items()}
         self.of_byte = [vocabulary[letter] for letter, _ in sorted(letters.items(), key=lambda x: x[1])]
-        self.rank: dict[int, int] = {}
+        self.follow: dict[int, dict[int, int]] = {i: {} for i in vocabulary.values()}
         self.merged: list[tuple[int, int, int]] = []
         for rank, merge in enumerate(merges):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             a, b, c = vocabulary[left], vocabulary[right], vocabulary[left + right]
-            self.rank.setdefault(a << 32 | b, rank)
+            self.follow[a].setdefault(b, rank)
             self.merged.append((a, b, c))
+        self.symbol = np.asarray(self.of_byte, np.int64)
+        self.first_rank = np.asarray([[self.follow[a].get(b, -1) for b in self.of_byte] for a in self.of_byte])
         self.known = Remembered()
         self.pieces = Remembered()
 
     def encode_batch(self, words: list[str]) -> list[list[int]]:
-        """Token ids of each pre-token."""
-        symbols: list[int] = []
-        after: list[int] = []
-        before: list[int] = []
-        starts = []
-        of_byte, rank = self.of_byte, self.rank
-        index: dict[int, list[int]] = {}
-        for word in words:
-            start = len(symbols)
-            starts.append(start)
-            own = [of_byte[b] for b in word.encode("utf-8", "surrogatepass")]
-            symbols += own
-            end = len(symbols)
-            after += range(start + 1, end + 1)
-            before += range(start - 1, end - 1)
-            after[-1], before[start] = -1, -1
-            for at, pair in enumerate(zip(own, own[1:]), start):
-                r = rank.get(pair[0] << 32 | pair[1])
-                if r is not None:
-                    index.setdefault(r, []).append(at)
+        """Token ids of each pre-token, block by block."""
+        return [ids for at in range(0, len(words), BLOCK) for ids in self._encode_block(words[at : at + BLOCK])]
+
+    def _encode_block(self, words: list[str]) -> list[list[int]]:
+        coded = [w.encode("utf-8", "surrogatepass") for w in words]
+        if not coded:
+            return []
+        raw = np.frombuffer(b"".join(coded), np.uint8)
+        ends = np.cumsum([len(w) for w in coded])
+        starts = [0, *ends[:-1].tolist()]
+        symbols = self.symbol[raw].tolist()
+        place = np.arange(len(raw))
+        after, before = place + 1, place - 1
+        after[ends - 1], before[starts] = -1, -1
+        pair = np.full(len(raw), -1)
+        pair[:-1] = self.first_rank[raw[:-1], raw[1:]]
+        pair[ends - 1] = -1
+        order = np.argsort(pair, kind="stable")
+        order = order[np.searchsorted(pair[order], 0) :]
+        found, cuts = np.unique(pair[order], return_index=True)
+        index = {r: at.tolist() for r, at in zip(found.tolist(), np.split(order, cuts[1:]))} if len(order) else {}
+        after, before = after.tolist(), before.tolist()
+        follow, merged = self.follow, self.merged
         active = list(index)
         heapify(active)
         while active:
             r = heappop(active)
-            a, b, c = self.merged[r]
-            for at in sorted(index.pop(r)):
+            a, b, c = merged[r]
+            positions = index.pop(r)
+            if a == b:
+                positions.sort()
+            right_ranks = follow[c]
+            for at in positions:
                 right = after[at]
-                if symbols[at] != a or right < 0 or symbols[right] != b:
+                if right < 0 or symbols[at] != a or symbols[right] != b:
                     continue
                 symbols[at], symbols[right] = c, -1
-                after[at] = follow = after[right]
-                if follow >= 0:
-                    before[follow] = at
-                    new = rank.get(c << 32 | symbols[follow])
+                after[at] = far = after[right]
+                if far >= 0:
+                    before[far] = at
+                    new = right_ranks.get(symbols[far])
                     if new is not None:
-                        if new not in index:
-                            index[new] = []
+                        if new in index:
+                            index[new].append(at)
+                        else:
+                            index[new] = [at]
                             heappush(active, new)
-                        index[new].append(at)
                 left = before[at]
                 if left >= 0:
-                    new = rank.get(symbols[left] << 32 | c)
+                    new = follow[symbols[left]].get(c)
                     if new is not None:
-                        if new not in index:
-                            index[new] = []
+                        if new in index:
+                            index[new].append(left)
+                        else:
+                            index[new] = [left]
                             heappush(active, new)
-                        index[new].append(left)
         out = []
         for at in starts:
             ids = []
@@ -109,21 +123,21 @@ class Encoder:
 
     def learn(self, texts_units: list[list[str]]) -> None:
         """Ids of all units of a batch that are not known yet."""
-        self.known.turn()
-        self.pieces.turn()
-        new = [u for u in self.known.unknown(u for one in texts_units for u in one)]
-        split = [special_parts(u) if SPECIAL in u else pretokens(u) for u in new]
-        missing = [w for w in self.pieces.unknown(w for one in split for w in one) if w not in self.special]
-        for word, ids in zip(missing, self.encode_batch(missing)):
-            self.pieces[word] = ids
+        new = self.known.unknown(texts_units)
+        split = [special_parts(piece(u)) if SPECIAL in u else pretokens(piece(u)) for u in new]
+        missing = [w for w in self.pieces.unknown(split) if w not in self.special]
+        pieces = self.pieces.now
+        pieces.update(zip(missing, self.encode_batch(missing)))
+        for word, number in self.special.items():
+            pieces[word] = [number]
         for unit, words in zip(new, split):
-            ids = [i for w in words for i in ((self.special[w],) if w in self.special else self.pieces[w])]
-            self.known[unit] = (len(ids), ",".join(map(str, ids)), tuple(ids))
+            ids = [i for w in words for i in pieces[w]]
+            self.known.now[unit] = (len(ids), ",".join(map(str, ids)), tuple(ids))
 
     def encode(self, text: str) -> list[int]:
-        parts = [u for u in units(text) if u]
+        parts = units(text)
         self.learn([parts])
-        return [i for u in parts for i in self.known[u][2]]
+        return [i for u in parts for i in self.known.now[u][2]]
 
     def decode(self, ids) -> str:
         """The text of the ids; bytes that are no UTF-8 become replacement characters."""
@@ -145,10 +159,10 @@ def _digests(path: str):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in frames:
-            ids_, texts = batch.column(0), [[u for u in units(t) if u] for t in batch.column(1).to_pylist()]
+            ids_, texts = batch.column(0), [units(t) for t in batch.column(1).to_pylist()]
             coder.learn(texts)
-            known, rows = coder.known, []
-            spelled = {u: coder.decode(known[u][2]) for u in {u for t in texts for u in t}}
+            known, rows = coder.known.now, []
+            spelled = {u: coder.decode(known[u][2]) for u in set().union(*texts)}
             for parts in texts:
                 found = [known[u] for u in parts]
                 rows.append(

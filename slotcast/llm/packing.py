@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 from slotcast.session import stage
 
 from .common import count_partitions, plain_docs, settings
-from .pretokens import Remembered, units
+from .pretokens import Remembered, piece, units
 
 VOCABULARY = "byte_bpe_50k.json"
 SIZE = 2048
 END = 1
+LINE_END = "\n"
+#: Units encoded in one call.
+TOGETHER = 256
 
 
 class Ids:
@@ -36,12 +39,32 @@ class Ids:
         self.coder.no_padding()
         self.coder.no_truncation()
         self.known = Remembered()
-
-    def learn(self, keys) -> None:
-        self.known.turn()
-        new = list(self.known.unknown(keys))
-        for unit, coded in zip(new, self.coder.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[unit] = np.asarray(coded.ids, "<u4").tobytes()
+        self.line_end = self.coder.token_to_id("Ċ")
+
+    def learn(self, texts_units: list[list[str]]) -> None:
+        """Ids of the units that are not known yet.
+
+        Units without inner white space are encoded many at once with line ends between: a
+        line end before a blank or a letter is always a token of its own.
+        """
+        alone: list[str] = []
+        together: list[str] = []
+        new = self.known.unknown(texts_units)
+        now = self.known.now
+        for key in new:
+            words = key.split()
+            (together if len(words) == 1 and words[0] == key else alone).append(key)
+        for key, coded in zip(alone, self.coder.encode_batch_fast([piece(k) for k in alone], add_special_tokens=False)):
+            now[key] = np.asarray(coded.ids, "<u4").tobytes()
+        for at in range(0, len(together), TOGETHER):
+            keys = together[at : at + TOGETHER]
+            coded = self.coder.encode_batch_fast([LINE_END.join(map(piece, keys))], add_special_tokens=False)
+            ids = np.asarray(coded[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.line_end).tolist()
+            raw, start = ids.tobytes(), 0
+            for key, end in zip(keys, [*cuts, len(ids)], strict=True):
+                now[key] = raw[4 * start : 4 * end]
+                start = end + 1
 
 
 @lru_cache(maxsize=1)
@@ -62,10 +85,11 @@ def _cut(path: str, size: int):
         own = ids_of(path)
         for batch in frames:
             texts = [units(t) for t in batch.column(1).to_pylist()]
-            own.learn(u for t in texts for u in t)
+            own.learn(texts)
+            find = own.known.now.__getitem__
             out: list[list[int]] = [[] for _ in PIECES]
             for doc_id, parts in zip(batch.column(0).to_pylist(), texts):
-                ids = b"".join([own.known[u] for u in parts]) + end
+                ids = b"".join(map(find, parts)) + end
                 n = len(ids) // 4
                 for start in range(0, n, size):
                     piece = ids[4 * start : 4 * (start + size)]

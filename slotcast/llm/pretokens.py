@@ -16,7 +16,9 @@ import regex
 
 SPECIAL = "<|endoftext|>"
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
-_BESIDE_BLANK = re.compile(r" \s|\s |\A\s|\s\Z")
+_BESIDE_BLANK = re.compile(r" (?:(?=\s)|(?<=\s ))")
+#: First character of a unit's key where no blank stands before it.
+BARE = "\0"
 #: Units (and pre-tokens) remembered by one task, twice over.
 REMEMBERED = 250_000
 
@@ -26,14 +28,23 @@ def pretokens(text: str) -> list[str]:
 
 
 def units(text: str, special: bool = True) -> list[str]:
-    """Pieces of the text, in order, that encode independently; joined they are the text.
+    """Keys of the pieces of the text, in order, that encode independently.
 
+    A key is the piece without the blank it begins with; of one without, it begins with BARE.
     special: the special token's string is a token of its own, as the vocabulary has it.
     """
-    if _BESIDE_BLANK.search(text):
-        return special_parts(text) if special and SPECIAL in text else pretokens(text)
-    first, *rest = text.split(" ")
-    return [first, *map(" ".__add__, rest)]
+    if not text:
+        return []
+    if BARE in text or text[0].isspace() or text[-1].isspace() or _BESIDE_BLANK.search(text):
+        parts = special_parts(text) if special and SPECIAL in text else pretokens(text)
+        return [BARE + p for p in parts]
+    keys = text.split(" ")
+    keys[0] = BARE + keys[0]
+    return keys
+
+
+def piece(key: str) -> str:
+    return key[1:] if key[0] == BARE else " " + key
 
 
 def special_parts(text: str) -> list[str]:
@@ -45,27 +56,26 @@ def special_parts(text: str) -> list[str]:
     return out
 
 
-class Remembered(dict):
+class Remembered:
     """Values of what was met lately: two generations, so memory is bounded."""
 
     def __init__(self, most: int = REMEMBERED):
-        super().__init__()
+        self.now: dict = {}
         self.older: dict = {}
         self.most = most
 
-    def __missing__(self, key):
-        value = self[key] = self.older[key]
-        return value
-
-    def unknown(self, keys) -> set:
-        new = set(keys).difference(self.keys())
-        return new.difference(self.older.keys()) if self.older else new
-
-    def turn(self) -> None:
-        """Between batches: forget what was not used in the last two generations."""
-        if len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
+    def unknown(self, lists) -> list:
+        """Between batches: the distinct keys of the lists that have no value yet; all others
+        are in ``now`` until the next call."""
+        if len(self.now) > self.most:
+            self.now, self.older = {}, self.now
+        now, older, out = self.now, self.older, []
+        for key in set().union(*lists).difference(now):
+            if key in older:
+                now[key] = older[key]
+            else:
+                out.append(key)
+        return out
 
 
 @lru_cache(maxsize=2)

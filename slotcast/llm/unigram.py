@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import plain_docs, settings
-from .pretokens import Remembered, pretokens, ranks, units
+from .pretokens import Remembered, piece, pretokens, ranks, units
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 NODES = 1_500_000
@@ -43,22 +43,22 @@ class Trie:
     def count(self, word: bytes) -> int:
         """Tokens of a pre-token; of equal scores the one with fewer tokens counts."""
         child, score, pieces, known = self.child, self.score, self.pieces, self.scores.get
-        node, path = 0, [0]
+        node, path, longest = 0, [0], self.longest
         for end, byte in enumerate(word, 1):
             step = node << 8 | byte
             node = child.get(step, -1)
             if node < 0:
-                best = None
-                for start in range(max(0, end - self.longest), end):
+                best, fewest = None, 0
+                for start in range(end - longest if end > longest else 0, end):
                     own = known(word[start:end])
                     if own is not None:
                         at = path[start]
-                        found = (score[at] + own, -pieces[at] - 1)
-                        if best is None or found > best:
-                            best = found
+                        own += score[at]
+                        if best is None or own > best or own == best and pieces[at] < fewest:
+                            best, fewest = own, pieces[at]
                 node = child[step] = len(score)
-                score.append(best[0])
-                pieces.append(-best[1])
+                score.append(best)
+                pieces.append(fewest + 1)
             path.append(node)
         return pieces[node]
 
@@ -69,17 +69,17 @@ class Counter:
         self.known = Remembered()
         self.words = Remembered()
 
-    def learn(self, keys) -> None:
-        self.known.turn()
-        self.words.turn()
-        new = list(self.known.unknown(keys))
-        split = [pretokens(u) for u in new]
-        for word in sorted(self.words.unknown(w for one in split for w in one)):
-            self.words[word] = self.trie.count(word.encode("utf-8", "surrogatepass"))
+    def learn(self, texts_units: list[list[str]]) -> None:
+        new = self.known.unknown(texts_units)
+        split = [pretokens(piece(u)) for u in new]
+        missing = self.words.unknown(split)
+        words = self.words.now
+        for word in sorted(missing):
+            words[word] = self.trie.count(word.encode("utf-8", "surrogatepass"))
             if len(self.trie.score) > NODES:
                 self.trie.reset()
-        for unit, words in zip(new, split):
-            self.known[unit] = (len(words), sum([self.words[w] for w in words]))
+        for unit, parts in zip(new, split):
+            self.known.now[unit] = (len(parts), sum([words[w] for w in parts]))
 
 
 @lru_cache(maxsize=1)
@@ -92,8 +92,8 @@ def _counted(path: str):
         own = counter(path)
         for batch in frames:
             texts = [units(t, special=False) for t in batch.column(1).to_pylist()]
-            own.learn(u for t in texts for u in t)
-            known = own.known
+            own.learn(texts)
+            known = own.known.now
             found = [[known[u] for u in t] for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)] + [pa.array([sum([x[k] for x in f]) for f in found], pa.int64()) for k in (0, 1)],
