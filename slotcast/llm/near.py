@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from slotcast.session import stage
 
-from .common import columns, components, plain_docs, settings
+from .common import columns, components, most_frequent, plain_docs, settings
 
 WIDTH = 5
 #: Similarity as a fraction: linked when DEN * |a & b| >= NUM * |a | b|.
@@ -98,16 +98,14 @@ def _frequent(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes (sorted) and counts of the most frequent shingles of all documents."""
-    rows = (
+    counted = stage(
         docs.select("text")
         .mapInArrow(_frequent, "h long, n long")
         .groupBy("h")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= HOT_MIN)
-        .orderBy(F.desc("n"), "h")
-        .limit(HOT_MAX)
-        .toArrow()
     )
+    rows = most_frequent(counted, HOT_MAX).toArrow()
     h = rows.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h)
     return h[order], rows.column("n").to_numpy()[order]
