@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from slotcast.session import stage
 
-from .common import columns, plain_docs, settings
+from .common import columns, most_frequent, plain_docs, settings
 
 #: The end of a text; no word holds white space.
 END = b"\n"
@@ -94,7 +94,7 @@ class Outcomes:
 def outcomes(counts: DataFrame) -> Outcomes:
     """From the counts of all training tokens; only the HELD most frequent words and the
     classes' sums reach the driver."""
-    top = counts.orderBy(F.desc("n"), "word").limit(HELD).collect()
+    top = sorted(most_frequent(counts, HELD).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
     sums = counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()
     tokens, types = sum(r["n"] for r in sums), sum(r["k"] for r in sums)
     plus_one = np.zeros(CLASSES)
@@ -227,7 +227,7 @@ def _trained(known: Outcomes):
         held: list[np.ndarray] = []
         lengths: list[int] = []
 
-        def use(all_of_it: bool) -> None:
+        def use() -> None:
             if not held:
                 return
             sequence = np.concatenate(held)
@@ -248,9 +248,9 @@ def _trained(known: Outcomes):
                 lengths.append(len(words))
                 size += len(words)
                 if size > 500_000:
-                    use(False)
+                    use()
                     size = 0
-        use(True)
+        use()
         if training.seen:
             parts = [p.astype(np.float32).tobytes() for p in model.parts()]
             yield pa.RecordBatch.from_arrays(
