@@ -23,16 +23,46 @@ def nan_to_null(value: Column | str) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def finite(value: Column | str) -> Column:
+    """NaN and infinity as NULL."""
+    return F.when(is_finite(value), _col(value))
+
+
+#: Decimals that sums carry beyond those of the grid, so that a value which has more of
+#: them than the grid says is not cut to it.
+GUARD = 4
+
+
 def scaled(value: Column | str, scale: int) -> Column:
     """Fixed-point value as an integer count of its last decimal."""
     return F.rint(_col(value) * float(10**scale)).cast("long")
 
 
+def steady_total(value: Column | str, decimals: int = 9) -> Column:
+    """Sum of free values on decimals, so that it does not depend on merge order."""
+    return F.sum(finite(value).cast(f"decimal(28,{decimals})")).cast("double")
+
+
+def free_total(value: Column | str, scale: int | None = None) -> Column:
+    """Sum of values that are no fixed-point values, on a grid whose values may be.
+
+    On a fixed-point grid sums are repeatable everywhere, so these run on nine decimals.
+    """
+    return F.sum(_col(value)) if scale is None else steady_total(value)
+
+
+def free_mean(value: Column | str, scale: int | None = None) -> Column:
+    """Mean with the sum of ``free_total``."""
+    if scale is None:
+        return F.avg(_col(value))
+    return steady_total(value) / F.count(finite(value))
+
+
 def total(value: Column | str, scale: int | None = None) -> Column:
     """Sum; exact for fixed-point values when ``scale`` is given."""
     if scale is None:
         return F.sum(_col(value))
-    return F.sum(scaled(value, scale)) / F.lit(float(10**scale))
+    return F.sum(scaled(value, scale + GUARD)) / F.lit(float(10 ** (scale + GUARD)))
 
 
 def mean(value: Column | str, scale: int | None = None) -> Column:
@@ -43,9 +73,6 @@ def mean(value: Column | str, scale: int | None = None) -> Column:
 
 
 def mean_square(value: Column | str, scale: int | None = None) -> Column:
-    """Mean of squares; exact sum for fixed-point values."""
+    """Mean of squares of free values."""
     c = _col(value)
-    if scale is None:
-        return F.avg(c * c)
-    units = scaled(c, scale)
-    return F.sum(units * units) / F.lit(float(100**scale)) / F.count(c)
+    return free_mean(c * c, scale)

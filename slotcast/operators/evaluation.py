@@ -24,7 +24,7 @@ def eval_metrics(
     squared = numeric.mean_square(error, scale)
     spread = F.var_pop(actual)
     return pairs.groupBy(*by).agg(
-        F.round(numeric.mean(F.abs(error), scale), digits).alias("mae"),
+        F.round(numeric.free_mean(F.abs(error), scale), digits).alias("mae"),
         F.round(F.sqrt(squared), digits).alias("rmse"),
         F.round(1 - squared / F.nullif(spread, F.lit(0.0)), digits).alias("r2"),
         F.count("*").alias("n"),
@@ -81,6 +81,6 @@ def mae_by_key(
     error = F.abs(F.col(predicted) - F.col(actual))
     return (
         df.groupBy(key)
-        .agg(numeric.mean(error, scale).alias("mae"))
+        .agg(numeric.free_mean(error, scale).alias("mae"))
         .orderBy(F.desc("mae"), key)
     )

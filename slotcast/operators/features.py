@@ -54,19 +54,22 @@ def lag_at(value: str, frame_base, hours: int) -> Column:
 def rolling_at(value: str, frame_base, hours: int, gap: int, scale: int | None) -> Column:
     """Mean over [t - hours, t - gap], NULLs skipped, NULL on an empty window.
 
-    Written as the difference of two frames that only grow, so the cost per row does
-    not depend on the window length (a sliding frame re-adds every row it covers).
+    Fixed-point values: the difference of two frames that only grow, on integers, so the
+    cost per row does not depend on the window length.  Free values: a sliding frame, which
+    adds every row it covers again, because a difference of growing sums of doubles would
+    keep the rounding of values that have long left the window.
     """
+    if scale is None:
+        return F.avg(value).over(frame_base.rangeBetween(-hours * HOUR, -gap))
     start = Window.unboundedPreceding
     upper = frame_base.rangeBetween(start, -gap)
     below = frame_base.rangeBetween(start, -(hours * HOUR + 1))
-    units = F.col(value) if scale is None else numeric.scaled(value, scale)
-    zero = F.lit(0.0) if scale is None else F.lit(0).cast("long")
+    digits = scale + numeric.GUARD
+    units = numeric.scaled(value, digits)
+    zero = F.lit(0).cast("long")
     added = F.coalesce(F.sum(units).over(upper), zero) - F.coalesce(F.sum(units).over(below), zero)
     count = F.count(value).over(upper) - F.count(value).over(below)
-    if scale is not None:
-        added = added / F.lit(float(10**scale))
-    return added / F.nullif(count, F.lit(0))
+    return added / F.lit(float(10**digits)) / F.nullif(count, F.lit(0))
 
 
 def history_features(
@@ -80,6 +83,8 @@ def history_features(
 ) -> DataFrame:
     """All lags and the rolling mean in one shuffle.  Needs unique (slot, key).
 
+    NaN and infinity count as missing values.
+
     ``gap`` is how long before the row the rolling window ends; one grid step keeps
     the current value out of its own feature.
     """
@@ -92,7 +97,9 @@ def history_features(
             grid.value, base, rolling, gap, grid.scale
         )
     out = (
-        history_blocks(df, grid.time, reach, block_days * DAY)
+        history_blocks(
+            df.withColumn(grid.value, numeric.finite(grid.value)), grid.time, reach, block_days * DAY
+        )
         .withColumns(added)
         .filter(~F.col("_history"))
         .drop("_secs", "_history")

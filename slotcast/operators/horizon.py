@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import numeric
 from ..functions.calendar import utc_of_local
 from ..functions.timegrid import seconds, shift
 from ..grid import DAY, HOUR, Grid
@@ -103,7 +104,8 @@ def aligned_history(
     block = block_days * DAY
     reach = max([*lags, rolling or 0]) * HOUR
     group = [grid.key, *by]
-    past = history_blocks(history.select(*group, grid.time, grid.value), grid.time, reach, block)
+    known = history.select(*group, grid.time, numeric.finite(grid.value).alias(grid.value))
+    past = history_blocks(known, grid.time, reach, block)
     payload = F.struct(*[c for c in slots.columns if c not in group])
     asked = (
         slots.select(*group, payload.alias("_slot"))

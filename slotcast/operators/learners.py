@@ -45,8 +45,8 @@ def _stages(
 ) -> list:
     # Missing values: a constant next to a flag, so a tree can split them off.  No pass
     # over the data is needed, and a column that is missing throughout does no harm.
-    filled = [f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}_filled" for c in NUMERIC]
-    flags = [f"CAST({c} IS NULL AS DOUBLE) AS {c}_missing" for c in NUMERIC]
+    filled = [f"COALESCE(NULLIF(CAST({c} AS DOUBLE), DOUBLE('NaN')), 0) AS {c}_filled" for c in NUMERIC]
+    flags = [f"CAST({c} IS NULL OR ISNAN({c}) AS DOUBLE) AS {c}_missing" for c in NUMERIC]
     whole = [f"CAST({c} AS DOUBLE) AS {c}_num" for c in INTEGER]
     columns = ", ".join(filled + flags + whole)
     inputs = SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")

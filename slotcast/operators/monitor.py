@@ -164,7 +164,7 @@ def next_slot_total(predictions: DataFrame, grid: Grid, as_of: str) -> DataFrame
     """Sum over keys at the first slot after now; NULL if there is none."""
     future = predictions.filter(F.col("forecast_horizon_dt") > instant(as_of))
     per_slot = future.groupBy("forecast_horizon_dt").agg(
-        numeric.total("predicted_mw", grid.scale).alias("total")
+        numeric.free_total("predicted_mw", grid.scale).alias("total")
     )
     return per_slot.agg(
         F.min("forecast_horizon_dt").alias("slot"),
@@ -184,7 +184,7 @@ def latest_batch(predictions: DataFrame) -> DataFrame:
 def mean_by_key(predictions: DataFrame, grid: Grid) -> DataFrame:
     """Average prediction per key with the bounds of a colour scale."""
     means = predictions.groupBy(grid.key).agg(
-        numeric.mean("predicted_mw", grid.scale).alias("avg_mw")
+        numeric.free_mean("predicted_mw", grid.scale).alias("avg_mw")
     )
     low = means.agg(F.min("avg_mw") * 0.85).scalar()
     high = means.agg(F.max("avg_mw") * 1.05).scalar()
@@ -224,7 +224,7 @@ def day_view(
         [s.filter(inside) for s in (today, predicted, yesterday)],
     )
     return stacked.groupBy("slot").agg(
-        *[numeric.total(c, grid.scale).alias(c) for c in ("actual", "predicted", "yesterday")]
+        *[numeric.free_total(c, grid.scale).alias(c) for c in ("actual", "predicted", "yesterday")]
     ).orderBy("slot")
 
 
@@ -247,7 +247,7 @@ def hour_heatmap(predictions: DataFrame, grid: Grid) -> DataFrame:
     names = [f"h{h:02d}" for h in range(24)]
     table = predictions.withColumn("_hour", hour).groupBy(grid.key).agg(
         *[
-            numeric.mean(F.when(F.col("_hour") == h, F.col("predicted_mw")), grid.scale).alias(n)
+            numeric.free_mean(F.when(F.col("_hour") == h, F.col("predicted_mw")), grid.scale).alias(n)
             for h, n in enumerate(names)
         ]
     )

@@ -62,7 +62,7 @@ def error_columns(error: Column, scale: int | None) -> list[Column]:
     """
     tails = F.percentile(error, F.array(F.lit(0.95), F.lit(0.99)))
     return [
-        numeric.mean(error, scale).alias("mae_mw"),
+        numeric.free_mean(error, scale).alias("mae_mw"),
         tails[0].alias("p95_error_mw"),
         tails[1].alias("p99_error_mw"),
         F.count("*").alias("n_samples"),
@@ -90,7 +90,7 @@ def national_metrics(
         matched.groupBy(*by, "forecast_horizon_dt")
         .agg(
             F.count_distinct(grid.key).alias("_n"),
-            numeric.total("predicted_mw", grid.scale).alias("predicted_mw"),
+            numeric.free_total("predicted_mw", grid.scale).alias("predicted_mw"),
             numeric.total(grid.value, grid.scale).alias(grid.value),
         )
         .filter(F.col("_n") == n_keys)
@@ -150,7 +150,8 @@ def metrics_backfill(
     rows = key_metrics(spread, grid, by).unionByName(
         national_metrics(spread, grid, n_keys, label, by)
     )
-    return rows.select(
+    finite = [numeric.is_finite(c) for c in ("mae_mw", "p95_error_mw", "p99_error_mw")]
+    return rows.filter(finite[0] & finite[1] & finite[2]).select(
         F.to_date("computed_at").alias("computed_date"),
         grid.key,
         "mae_mw",

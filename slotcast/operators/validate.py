@@ -47,6 +47,8 @@ def validate(df: DataFrame, rules: Rules, policy: str = "fail") -> DataFrame:
 
     With ``policy='drop'`` the bad rows are left out instead.
     """
+    if policy not in ("drop", "fail"):
+        raise ValueError(f"unknown policy {policy!r}: 'drop' or 'fail'")
     if policy == "drop":
         return quarantine(df, rules)[0]
     counts = violations(df, rules).first().asDict()

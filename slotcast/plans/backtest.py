@@ -226,14 +226,8 @@ def walk_forward_model(
     return done
 
 
-def cutoff_of(day: Column, tz: str) -> Column:
-    return anchor_of(day, tz, TRAIN_HOUR)
-
-
 __all__ = [
-    "ANCHOR_HOUR",
     "TRAIN_HOUR",
-    "cutoff_of",
     "fold_days",
     "fold_summary",
     "totals_until",

@@ -33,9 +33,10 @@ def full_rebuild(
 
     Returns the id of the trained run, None if the training gate refused.
     """
+    measures = [c for c in weather.columns if c not in (*grid.keys, grid.ingested)]
     store.truncate()
     store.upsert("consumption", prefer_source(consumption_feeds, grid))
-    store.upsert("weather", latest_per(weather, grid.keys, [grid.ingested]))
+    store.upsert("weather", latest_per(weather, grid.keys, [grid.ingested, *measures]))
     materialize_incremental(store, grid, as_of, since=since)
     frame = training_frame(
         store.read("features").drop("_materialized_at"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -40,10 +41,14 @@ def build(app_name: str = "slotcast", master: str | None = None, **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only where the cluster names none (tests, a laptop) is a local folder created.
+    A local folder is created only where the session runs in one process (tests, a laptop);
+    a cluster that names none is an error, as executors would write to their own disks.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[.*\])?$", master):
+            raise RuntimeError(f"spark.checkpoint.dir names no shared folder for {master}")
         return tempfile.mkdtemp(prefix="slotcast-")
     return f"{base.rstrip('/')}/slotcast-{uuid.uuid4().hex}"
 

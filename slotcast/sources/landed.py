@@ -33,8 +33,14 @@ def parse_record_pages(df: DataFrame, column: str) -> DataFrame:
 
 
 def explode_records(pages: DataFrame) -> DataFrame:
-    """One row per record, still as landed (time is text)."""
-    return pages.select(F.inline("results"))
+    """One row per record, still as landed (time is text).
+
+    A page without ``results`` fails the read: it is an error answer, not an empty page.
+    """
+    absent = F.raise_error(F.lit("a page has no results"))
+    return pages.select(
+        F.inline(F.coalesce("results", F.when(F.col("results").isNull(), absent).cast(RECORD_PAGE["results"].dataType)))
+    )
 
 
 def normalise_records(
@@ -65,9 +71,17 @@ def explode_hourly(
 ) -> DataFrame:
     """One row per hour from parallel arrays of equal length.
 
-    Unequal arrays must have been refused before (``validate.hourly_page_rules``):
-    zipping would pad the shorter ones with NULL.
+    Arrays that are missing or of unequal length fail the read, as zipping would pad the
+    shorter ones with NULL.
     """
+    same = F.size("hourly.time") >= 0
+    for name in HOURLY_ARRAYS:
+        same = same & (F.size(f"hourly.{name}") == F.size("hourly.time"))
+    message = F.lit("a page's hourly arrays are missing or differ in length")
+    hourly = F.when(F.coalesce(same, F.lit(False)), F.col("hourly")).otherwise(
+        F.raise_error(message).cast(HOURLY_PAGE["hourly"].dataType)
+    )
+    pages = pages.withColumn("hourly", hourly)
     zipped = F.arrays_zip(
         F.col("hourly.time").alias("time"),
         *[F.col(f"hourly.{name}").alias(name) for name in HOURLY_ARRAYS],

@@ -6,7 +6,7 @@ can run continuously or, with ``availableNow``, as one incremental batch.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,17 +97,21 @@ def stream_metrics(
     source: DataFrame,
     store: Store,
     grid: Grid,
-    as_of: str,
+    as_of: str | Callable[[], str],
     n_keys: int,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Land each micro-batch of actuals, then refresh the day's metrics snapshot."""
+    """Land each micro-batch of actuals, then refresh the day's metrics snapshot.
+
+    ``as_of`` may be a function, which is asked for every batch: in a stream that lives on,
+    the evaluation window moves with it.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
         keys = store.layout("consumption").upsert_keys
         newest = latest_per(batch, keys, [grid.ingested, *_values(batch, grid, keys)])
         store.upsert("consumption", newest, newest_by=grid.ingested)
-        run_metrics(store, grid, as_of, n_keys)
+        run_metrics(store, grid, as_of() if callable(as_of) else as_of, n_keys)
 
     return (
         source.writeStream.foreachBatch(write)
