@@ -213,16 +213,16 @@ def light_links(sets: DataFrame, limit: int) -> DataFrame:
     return listed.select("key", F.col("id").alias("a")).join(first, "key").where("a <> b").select("a", "b").distinct()
 
 
-def _differ(left: str, right: str) -> str:
+def _differ(left: str, right: str, bits: int) -> str:
     """Classes of shingles whose parity differs: each holds a shingle of one set only."""
-    return " + ".join(f"bit_count({left}[{k}] ^ {right}[{k}])" for k in range(BITS // 64))
+    return " + ".join(f"bit_count({left}[{k}] ^ {right}[{k}])" for k in range(bits // 64))
 
 
-def _may_link(n: str, m: str, left: str, right: str) -> str:
+def _may_link(n: str, m: str, left: str, right: str, bits: int = BITS) -> str:
     """What sizes and sketches say; sets that are similar differ in so many shingles at most."""
     total = f"({n} + {m})"
     allowed = f"{total} - 2 * (({NUM} * {total} + {NUM + DEN - 1}) div {NUM + DEN})"
-    return f"{DEN} * least({n}, {m}) >= {NUM} * greatest({n}, {m}) and {_differ(left, right)} <= {allowed}"
+    return f"{DEN} * least({n}, {m}) >= {NUM} * greatest({n}, {m}) and {_differ(left, right, bits)} <= {allowed}"
 
 
 def _packed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,36 +260,35 @@ def heavy_links(sets: DataFrame, limit: int, docs: DataFrame) -> DataFrame:
     """(a, b): links with a set of more than ``limit`` shingles, enough for components.
 
     Lists of one member go at once.  In each list every member is tried with the list's
-    first one; lists whose members are then in one component are done.  Only members of
-    different components of the rest are tried in pairs.
+    centre, the member whose lists are longest in all: of a text and its altered copies
+    mostly the text itself.  Lists whose members are then in one component are done.  Only
+    members of different components of the rest are tried in pairs, where sizes, positions
+    and sketches (folded to half their classes) allow a link.
     """
     smallest = partners(limit + 1)[0]
     probe = sets.where(F.col("n") >= smallest).select(
         "id", "n", F.posexplode(F.slice("tokens", F.lit(1), F.expr(f"int(n - (n * {NUM} + {DEN - 1}) div {DEN} + 1)"))).alias("pos", "token"), "groups"
     )
-    parts = F.get("groups", F.col("pos"))
-    probe = probe.select(
-        "token", "id", "n", "pos", (parts > 0).alias("hot"),
-        F.when(parts > 1, F.pmod(F.xxhash64("id"), parts)).otherwise(0).alias("part"),
-    )
+    probe = probe.select("token", "id", "n", "pos", (F.get("groups", F.col("pos")) > 0).alias("hot"), F.when(
+        F.get("groups", F.col("pos")) > 1, F.pmod(F.xxhash64("id"), F.get("groups", F.col("pos")))
+    ).otherwise(0).alias("part"))
     own = Window.partitionBy("token", "part")
     members = stage(
-        probe.withColumn("k", F.count("*").over(own))
-        .withColumn("first", F.min(F.struct("id", "n")).over(own))
-        .where((F.col("k") > 1) | F.col("hot"))
-        .drop("k")
+        probe.withColumn("k", F.count("*").over(own)).where((F.col("k") > 1) | F.col("hot")).drop("hot", "part")
     )
-    firsts = (
-        members.where("hot")
-        .select("token", "first")
-        .distinct()
-        .join(members.where("hot").groupBy("token").agg(F.min("first").alias("top")), "token")
-        .select(F.col("first.id").alias("a"), F.col("first.n").alias("n"), F.col("top.id").alias("b"), F.col("top.n").alias("m"))
+    weight = members.groupBy("id").agg(F.sum("k").alias("weight"))
+    centre = (
+        members.select("token", "id", "n")
+        .join(weight, "id")
+        .groupBy("token")
+        .agg(F.max(F.struct("weight", -F.col("id"), "n")).alias("c"))
+        .select("token", (-F.col("c.col2")).alias("b"), F.col("c.n").alias("m"))
     )
     stars = (
-        members.select(F.col("id").alias("a"), "n", F.col("first.id").alias("b"), F.col("first.n").alias("m"))
-        .union(firsts)
+        members.select("token", F.col("id").alias("a"), "n")
+        .join(centre, "token")
         .where(f"a <> b and greatest(n, m) > {limit} and {DEN} * least(n, m) >= {NUM} * greatest(n, m)")
+        .select("a", "n", "b", "m")
         .distinct()
     )
     sketch = sets.select("id", "sketch")
@@ -301,10 +300,12 @@ def heavy_links(sets: DataFrame, limit: int, docs: DataFrame) -> DataFrame:
     )
     links = verified(stars, docs)
     joined = components(links)
-    rest = members.drop("first", "part", "hot").join(joined.withColumnRenamed("node", "id"), "id", "left")
+    rest = members.drop("k").join(joined.withColumnRenamed("node", "id"), "id", "left")
     rest = rest.withColumn("component", F.coalesce("component", "id"))
     mixed = rest.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = stage(rest.join(mixed.select("token"), "token").join(sketch, "id"))
+    half = F.transform(F.sequence(F.lit(0), F.lit(BITS // 128 - 1)), lambda i: F.get("sketch", i).bitwiseXOR(F.get("sketch", i + BITS // 128)))
+    folded = sets.select("id", half.alias("sketch"))
+    rest = stage(rest.join(mixed.select("token"), "token").join(folded, "id"))
     other = rest.select(
         "token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"),
         F.col("component").alias("c"), F.col("sketch").alias("right"),
@@ -312,7 +313,7 @@ def heavy_links(sets: DataFrame, limit: int, docs: DataFrame) -> DataFrame:
     bound = f"least(n - pos, m - at) >= (({NUM} * (n + m) + {NUM + DEN - 1}) div {NUM + DEN})"
     pairs = (
         rest.join(other, "token")
-        .where(f"id < b and component <> c and greatest(n, m) > {limit} and {bound} and " + _may_link("n", "m", "sketch", "right"))
+        .where(f"id < b and component <> c and greatest(n, m) > {limit} and {bound} and " + _may_link("n", "m", "sketch", "right", BITS // 2))
         .select(F.col("id").alias("a"), "b")
         .distinct()
     )
