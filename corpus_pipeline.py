@@ -40,7 +40,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Expectation-maximisation and packing have no SQL form; a test runs the stages by brute force.
+#: Expectation-maximisation and packing have no SQL form; tests hold each operator against brute force.
 ORACLE_SQL = None
 
 
