@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotcast.session import stage
+from slotcast.session import stage, staged
 
 from .common import columns, components, most_frequent, plain_docs, settings
 
@@ -225,6 +225,37 @@ def _may_link(n: str, m: str, left: str, right: str, bits: int = BITS) -> str:
     return f"{DEN} * least({n}, {m}) >= {NUM} * greatest({n}, {m}) and {_differ(left, right, bits)} <= {allowed}"
 
 
+def _parities(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fine sketches: a set's size, and parities of four to eight classes a shingle.
+
+    The number of classes is a power of two, so a longer sketch folds to a shorter one.
+    """
+    for batch in frames:
+        out = []
+        for text in columns(batch, "text")[0]:
+            s = shingle_set(text)
+            bits = max(BITS, 1 << (4 * len(s) - 1).bit_length())
+            odd = np.bincount(((s >> np.uint64(7)) % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+            out.append(len(s).to_bytes(8, "little") + np.packbits(odd).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "parities"])
+
+
+def _screen(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose fine sketches allow a link; each differing class is a differing shingle."""
+    for batch in frames:
+        out_a, out_b = [], []
+        for a, b, left, right in zip(*columns(batch, "a", "b", "left", "right")):
+            n, m = int.from_bytes(left[:8], "little"), int.from_bytes(right[:8], "little")
+            long, short = (np.frombuffer(x, np.uint8, offset=8) for x in sorted((left, right), key=len, reverse=True))
+            while len(long) > len(short):
+                half = len(long) // 2
+                long = long[:half] ^ long[half:]
+            if int(np.bitwise_count(long ^ short).sum()) <= n + m - 2 * needed(n, m):
+                out_a.append(a)
+                out_b.append(b)
+        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+
+
 def _packed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in frames:
         sets = [shingle_set(t).tobytes() for t in columns(batch, "text")[0]]
@@ -243,17 +274,29 @@ def _verify(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
 
-def verified(near: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar."""
-    wanted = stage(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct())
-    found = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
-    full = stage(found.mapInArrow(_packed, "id long, shingles binary"))
-    both = (
-        near.join(full.toDF("a", "left"), "a")
-        .join(full.toDF("b", "right"), "b")
+def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    return docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+
+
+def _side_by_side(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    return (
+        pairs.join(held.toDF("a", "left"), "a")
+        .join(held.toDF("b", "right"), "b")
         .select("a", "b", "left", "right")
     )
-    return stage(both.mapInArrow(_verify, "a long, b long").distinct())
+
+
+def verified(near: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar.
+
+    Fine sketches, a sixteenth to an eighth of a set's bytes, refuse nearly all other pairs
+    first, so whole sets move for links alone.
+    """
+    with staged(_texts_of(near, docs).mapInArrow(_parities, "id long, parities binary")) as fine:
+        likely = stage(_side_by_side(near, fine).mapInArrow(_screen, "a long, b long").distinct())
+    with staged(_texts_of(likely, docs).mapInArrow(_packed, "id long, shingles binary")) as full:
+        return stage(_side_by_side(likely, full).mapInArrow(_verify, "a long, b long").distinct())
 
 
 def heavy_links(sets: DataFrame, limit: int, docs: DataFrame) -> DataFrame:
@@ -337,14 +380,15 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     settings(docs.sparkSession)
     docs = plain_docs(docs, id_col, text_col)
     hot_hash, hot_count = frequent_shingles(docs)
-    described = stage(docs.mapInArrow(_described(hot_hash, hot_count), SETS_DDL))
-    numbered = described.where(F.col("n_shingles") > 0)
-    first = stage(numbered.groupBy("set_key").agg(F.min("doc_id").alias("id")))
-    sets = stage(
-        numbered.where(F.col("doc_id").isNotNull())
-        .join(first.select("set_key", F.col("id").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
-        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "tokens", "groups", "sketch")
-    )
+    with staged(docs.mapInArrow(_described(hot_hash, hot_count), SETS_DDL)) as whole:
+        described = stage(whole.select("doc_id", "n_shingles", "set_key"))
+        numbered = whole.where(F.col("n_shingles") > 0)
+        first = stage(numbered.groupBy("set_key").agg(F.min("doc_id").alias("id")))
+        sets = stage(
+            numbered.where(F.col("doc_id").isNotNull())
+            .join(first.select("set_key", F.col("id").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
+            .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "tokens", "groups", "sketch")
+        )
     counts = sets.groupBy("n").count().where(F.col("n") <= 2 * LIGHT_MAX).collect()
     limit = boundary({r["n"]: r["count"] for r in counts})
     owned = docs.where(F.col("doc_id").isNotNull())
