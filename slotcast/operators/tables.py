@@ -85,7 +85,7 @@ def read_table(
     return df.select(*layout.schema.fieldNames())
 
 
-def _read_days(spark: SparkSession, path: str, layout: Layout, days: Sequence) -> DataFrame:
+def read_days(spark: SparkSession, path: str, layout: Layout, days: Sequence) -> DataFrame:
     """The given days only; the other folders of the table are not even listed."""
     folders = [f"{path}/{layout.day}={day}" for day in days]
     folders = [folder for folder in folders if exists(spark, folder)]
@@ -95,6 +95,31 @@ def _read_days(spark: SparkSession, path: str, layout: Layout, days: Sequence) -
     return stored.parquet(*folders).select(*layout.schema.fieldNames())
 
 
+def last_day(spark: SparkSession, path: str, layout: Layout) -> str | None:
+    """The newest day folder; no file is opened."""
+    if not exists(spark, path):
+        return None
+    files, location = located(spark, path)
+    names = [status.getPath().getName() for status in files.listStatus(location)]
+    prefix = f"{layout.day}="
+    return max((n.removeprefix(prefix) for n in names if n.startswith(prefix)), default=None)
+
+
+def day_files(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
+    """(day, files): a digest of the file names of each day; file contents are not read.
+
+    Every write gives new names, so a day whose digest has changed was written since, whatever
+    the stamps of its rows.
+    """
+    if last_day(spark, path, layout) is None:
+        return spark.createDataFrame([], "day string, files string")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    return listed.groupBy(F.col(layout.day).cast("string").alias("day")).agg(
+        F.md5(F.array_join(F.array_sort(F.collect_list(name)), ",")).alias("files")
+    )
+
+
 def append(df: DataFrame, path: str, layout: Layout) -> None:
     arrange(conform(df, layout), layout).write.mode("append").partitionBy(layout.day).parquet(path)
 
@@ -187,7 +212,7 @@ def upsert(
     day = F.col(layout.day) if layout.partition_is_column else F.to_date(layout.time)
     days = [r[0] for r in batch.select(day).distinct().collect()]
     if days:
-        old = _read_days(spark, path, layout, days)
+        old = read_days(spark, path, layout, days)
         merged = conform(upsert_rows(old, batch, keys, newest_by), layout)
         arrange(merged, layout).write.partitionBy(layout.day).parquet(f"{work}/merged")
         try:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import is_finite
 from ..schemas import HOURLY_ARRAYS
-from ..sources.landed import ZONED
+from ..sources.landed import MALFORMED, ZONED
 
 Rules = dict[str, Column]
 
@@ -57,6 +57,11 @@ def validate(df: DataFrame, rules: Rules, policy: str = "fail") -> DataFrame:
     return df
 
 
+def well_formed() -> Rules:
+    """A page parsed with ``keep_malformed`` was valid JSON of the declared types."""
+    return {"well_formed": F.col(MALFORMED).isNull()}
+
+
 def record_page_rules() -> Rules:
     """A page has results and every record names a zone and a region."""
     return {

@@ -358,6 +358,33 @@ SQL = {
         WHERE CAST(date_heure AS DATE) > CAST({NOW} AS DATE) - 10""",
     "truncate_tables": "SELECT CAST(0 AS BIGINT) AS n_after, COUNT(*) AS n_before FROM raw",
     "materialize_incremental": "SELECT * FROM features",
+    "materialize_incremental_late": "SELECT * FROM features",
+    # Landed times keep their minutes, and equal stamps are settled by the greater value.
+    "run_ingest": """WITH low AS (SELECT max(ts) - INTERVAL 6 HOUR AS t FROM events
+              WHERE (event_id // 100) % 2 = 0),
+        hours AS (SELECT max(hour_dt) - INTERVAL 6 HOUR AS t FROM weather_h WHERE hour_dt < TIMESTAMP '2024-01-11')
+        SELECT ts AS date_heure, event_type AS region, max(value) AS consommation,
+               'consumption' AS table_name FROM events
+        WHERE value IS NOT NULL AND ts > TIMESTAMP '2023-12-18'
+          AND ((event_id // 100) % 2 = 0 OR ts > (SELECT t FROM low)) GROUP BY 1, 2
+        UNION ALL SELECT hour_dt, region, wind_speed_kmh,
+               'weather since ' || strftime((SELECT t FROM hours), '%Y-%m-%dT%H:%M:%S')
+        FROM weather_h""",
+    "run_reingest": f"""SELECT e.date_heure, e.region, CASE WHEN e.date_heure > {NOW} - INTERVAL 168 HOUR
+            AND e.date_heure <= {NOW} THEN l.v + 1 ELSE e.consommation END AS consommation
+        FROM eco e JOIN (SELECT date_heure, region, arg_max(consommation, (_ingested_at, consommation)) AS v
+                         FROM raw GROUP BY 1, 2) l
+          ON l.date_heure = e.date_heure AND l.region = e.region""",
+    "run_backfill": """SELECT date_heure, region, consommation, _ingested_at FROM (
+        SELECT *, row_number() OVER (PARTITION BY date_heure, region
+               ORDER BY _ingested_at DESC, consommation DESC) AS rn FROM raw
+        WHERE date_heure >= TIMESTAMP '2024-01-05' AND date_heure < TIMESTAMP '2024-01-25'
+          AND consommation IS NOT NULL) WHERE rn = 1""",
+    "quarantined_pages": """SELECT CASE WHEN page % 11 = 3 THEN 'results_present'
+            WHEN page % 11 = 5 THEN 'well_formed' WHEN broken THEN 'time_has_zone'
+            ELSE 'good' END AS reason, COUNT(*) AS n
+        FROM (SELECT event_id // 100 AS page, min(event_id % 701) = 0 AS broken FROM events GROUP BY 1)
+        GROUP BY 1""",
     "write_predictions": """SELECT f.forecast_horizon_dt, f.region,
         coalesce(f.consommation_lag_24h, f.consommation_lag_48h, r.consommation_rolling_168h) + 1
           AS predicted_mw, 'naive24' AS model_version, f.forecast_date,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime, timedelta
+from collections.abc import Iterable, Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..files import exists
 from ..functions.calendar import calendar
 from ..functions.timegrid import instant, shift
 from ..grid import HOUR, Grid
@@ -22,6 +23,8 @@ from ..operators.features import (
 from ..sources.incremental import DEFAULT_LOOKBACK_DAYS
 from ..store import Store
 
+SEEN = "table_name string, day string, files string"
+
 
 def build_features(
     raw: DataFrame,
@@ -67,22 +70,43 @@ def _day(moment) -> str:
     return moment.date().isoformat()
 
 
-def changed_range(store: Store, grid: Grid, last_run: datetime) -> tuple | None:
-    """Earliest and latest slot whose record or reading arrived at or after ``last_run``.
+RAW = ("consumption", "weather")
+
 
-    Two numbers; the scan reads the time columns of new rows only where row-group
-    statistics allow.
+def listing(store: Store) -> dict[tuple[str, str], str]:
+    """(table, day): digest of the day's file names, for the raw tables.
+
+    One entry per table and calendar day; no file is opened.
     """
-    arrived = [
-        store.read(name)
-        .filter(F.col(grid.ingested) >= F.lit(last_run))
-        .agg(F.min(grid.time).alias("low"), F.max(grid.time).alias("high"))
-        for name in ("consumption", "weather")
-    ]
-    low, high = (
-        arrived[0].unionByName(arrived[1]).agg(F.min("low"), F.max("high")).first()
-    )
-    return None if low is None else (low, high)
+    return {(name, row["day"]): row["files"] for name in RAW for row in store.day_files(name).collect()}
+
+
+def _seen_path(store: Store) -> str:
+    return f"{store.root}/_seen/features"
+
+
+def seen(store: Store) -> dict[tuple[str, str], str]:
+    """The listing that the stored features were computed from; empty if there is none."""
+    if not exists(store.spark, _seen_path(store)):
+        return {}
+    rows = store.spark.read.schema(SEEN).parquet(_seen_path(store)).collect()
+    return {(r["table_name"], r["day"]): r["files"] for r in rows}
+
+
+def remember(store: Store, entries: dict[tuple[str, str], str]) -> None:
+    rows = [(*where, files) for where, files in sorted(entries.items())]
+    frame = store.spark.createDataFrame(rows, SEEN).coalesce(1)
+    frame.write.mode("overwrite").parquet(_seen_path(store))
+
+
+def days_from(days: Iterable[str], before: int, after: int) -> list[str]:
+    """The given days, each widened by days before and after it."""
+    wide = {
+        (date.fromisoformat(day) + timedelta(days=k)).isoformat()
+        for day in days
+        for k in range(-before, after + 1)
+    }
+    return sorted(wide)
 
 
 def materialize_incremental(
@@ -96,39 +120,46 @@ def materialize_incremental(
     """Compute and upsert the feature rows that new data can have changed.
 
     * ``since`` given: every row after it.
-    * ``mode='changed'``: a value at u reaches the rows u to u + look-back, so rows from
-      the earliest changed slot to the latest one plus the look-back are computed again.
+    * ``mode='changed'``: days of raw rows whose files are not those of the run before, however
+      late they were committed and whatever their stamps.  A value at u reaches the rows u to
+      u + look-back, so each such day and the look-back after it is computed again, and no
+      other day is opened.
     * ``mode='reference'``: only rows after the newest feature row; late keys and
       corrections are not picked up.
 
-    An empty feature table starts 7 days before ``as_of``.
+    An empty feature table starts 7 days before ``as_of``.  The files seen are noted after the
+    rows are stored, as they were listed before the read: what is committed during a run is
+    seen by the next one, and a run that stops is repeated.  Without a note every day counts as
+    changed.
     """
-    reach = timedelta(hours=ROLLING_HOURS)
-    until = None
+    files = listing(store)
+    options = {"deduplicate": deduplicate}
+    known = seen(store) if mode == "changed" or since is not None else {}
     if since is None:
-        last_slot, last_run = (
-            store.read("features").agg(F.max(grid.time), F.max("_materialized_at")).first()
-        )
+        newest = store.last_day("features")
+        last_slot = store.read("features", newest, newest).agg(F.max(grid.time)).first()[0]
         if last_slot is None:
-            start = datetime.fromisoformat(as_of) - timedelta(days=DEFAULT_LOOKBACK_DAYS)
+            since = _text(datetime.fromisoformat(as_of) - timedelta(days=DEFAULT_LOOKBACK_DAYS))
+            known = {}
         elif mode == "reference":
-            start = last_slot
-        else:
-            changed = changed_range(store, grid, last_run)
-            if changed is None:
-                return
-            start = changed[0].replace(minute=0, second=0, microsecond=0) - timedelta(seconds=1)
-            until = changed[1] + timedelta(hours=1) + reach
-        since = _text(start)
-    start = datetime.fromisoformat(since)
-    first_day = _day(start - reach)
-    last_day = None if until is None else _day(until)
-    rows = build_features(
-        store.read("consumption", first_day, last_day),
-        store.read("weather", first_day, last_day),
-        grid,
-        since,
-        None if until is None else _text(until),
-        deduplicate=deduplicate,
-    )
+            since = _text(last_slot)
+    if since is not None:
+        first = _day(datetime.fromisoformat(since) - timedelta(hours=ROLLING_HOURS))
+        rows = build_features(
+            store.read("consumption", first), store.read("weather", first), grid, since, **options
+        )
+        # Days before the given start stay as they were noted.
+        done = {w: f for w, f in files.items() if w[1] >= since[:10] or not known}
+        files = {w: f for w, f in known.items() if w[1] < since[:10] and w in files} | done
+    else:
+        touched = sorted({day for (name, day), f in files.items() if known.get((name, day)) != f})
+        if not touched:
+            return
+        look_back = -(-ROLLING_HOURS // 24)
+        affected = days_from(touched, 0, look_back)
+        needed = days_from(affected, look_back, 0)
+        rows = build_features(
+            *(store.read_days(name, needed) for name in RAW), grid, **options
+        ).filter(F.to_date(grid.time).isin([date.fromisoformat(d) for d in affected]))
     store.upsert("features", rows.withColumn("_materialized_at", instant(as_of)))
+    remember(store, files)

@@ -25,7 +25,15 @@ from .operators import (
     training,
     validate,
 )
-from .plans import backtest, feature_job, forecast_job, metrics_job, rebuild, training_job
+from .plans import (
+    backtest,
+    feature_job,
+    forecast_job,
+    ingest_job,
+    metrics_job,
+    rebuild,
+    training_job,
+)
 from .schemas import CONSUMPTION, WEATHER
 from .session import prepare, shared_folder, stage
 from .sources import dimensions, incremental, landed, periods
@@ -893,6 +901,85 @@ def materialize_incremental(spark, sf):
     return store.read("features").drop("_materialized_at")
 
 
+@query
+def materialize_incremental_late(spark, sf):
+    """Records stamped before the first run and committed after it, up to 20 days back."""
+    store = new_store(spark)
+    early = F.col("_ingested_at") < F.lit("2024-01-21").cast("timestamp")
+    first = early & (F.col("event_id") % 97 != 0)
+    raw, readings = b.consumption(spark, sf), b.weather(spark, sf)
+    store.append("consumption", raw.filter(first))
+    store.append("weather", readings)
+    feature_job.materialize_incremental(
+        store, HOURLY, "2024-01-21T02:00:00", since="2023-12-31T00:00:00"
+    )
+    store.append("consumption", raw.filter(~first))
+    feature_job.materialize_incremental(store, HOURLY, AS_OF)
+    return store.read("features").drop("_materialized_at")
+
+
+@query
+def run_ingest(spark, sf):
+    """A first run on part of the landed pages, then one on all of them."""
+    store = new_store(spark)
+    stamp = "2023-12-25T00:00:00"
+    pages, docs = record_pages(spark, sf), hourly_pages(spark, sf)
+    ingest_job.run_ingest(
+        store, HOURLY, pages.filter("page % 2 = 0"), docs.filter("day < '2024-01-11'"), stamp
+    )
+    late = ingest_job.start_of(store, "weather", HOURLY, stamp)
+    ingest_job.run_ingest(store, HOURLY, pages, docs, "2024-01-31T00:00:00")
+    slots = store.read("consumption").select(
+        "date_heure", "region", "consommation", F.lit("consumption").alias("table_name")
+    )
+    hours = store.read("weather").select(
+        "date_heure", "region", F.col("wind_speed_kmh").alias("consommation"),
+        F.concat(F.lit("weather since "), F.lit(late[:19])).alias("table_name"),
+    )
+    return slots.unionByName(hours)
+
+
+@query
+def run_reingest(spark, sf):
+    """All rows but for the corrections of the last 168 h, then those."""
+    store, raw = new_store(spark), b.consumption(spark, sf)
+    ingest_job.load(store, "consumption", eco(spark, sf).drop("event_id"), HOURLY)
+    corrected = raw.drop("event_id").withColumn("consommation", F.col("consommation") + 1).withColumn(
+        "_ingested_at", F.col("_ingested_at") + F.expr("INTERVAL 1 DAY")
+    )
+    ingest_job.run_reingest(store, HOURLY, corrected, AS_OF)
+    return store.read("consumption").select("date_heure", "region", "consommation")
+
+
+@query
+def run_backfill(spark, sf):
+    store = new_store(spark)
+    ingest_job.run_backfill(
+        store, HOURLY, b.consumption(spark, sf).drop("event_id"),
+        "2024-01-05T00:00:00", "2024-01-25T00:00:00", b.keys(spark, sf),
+    )
+    return store.read("consumption")
+
+
+@query
+def quarantined_pages(spark, sf):
+    """Pages set aside by reason: records without a zone, without results, malformed text."""
+    body = (
+        F.when(F.col("page") % 11 == 3, F.lit('{"error": "quota"}'))
+        .when(F.col("page") % 11 == 5, F.substring("body", 1, 40))
+        .otherwise(F.col("body"))
+    )
+    pages = record_pages(spark, sf, drop_zone=True).withColumn("body", body)
+    good, refused = ingest_job.record_pages(pages, "body", "quarantine")
+    kept = good.select(F.lit("good").alias("reason"))
+    reason = F.when(F.array_contains("_reason", "well_formed"), "well_formed").otherwise(
+        F.get("_reason", F.lit(0))
+    )
+    return kept.unionByName(refused.select(reason.alias("reason"))).groupBy("reason").agg(
+        F.count("*").alias("n")
+    )
+
+
 @query
 def write_predictions(spark, sf):
     """One day forecast from stored tables, validated and upserted."""

@@ -1,8 +1,8 @@
 """Landed API pages to rows.
 
 Pages arrive as JSON files or as a string column; both become one struct per page and
-are exploded by Spark.  A page or record that breaks its contract fails the read, as
-one bad record fails its page upstream; ``policy='quarantine'`` splits instead.
+are exploded by Spark.  A page without records or with unequal arrays fails the read, as
+one bad record fails its page upstream; ``plans.ingest_job`` can set such pages aside.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import nan_to_null
 from ..functions.timegrid import instant
@@ -19,6 +20,7 @@ from ..schemas import HOURLY_ARRAYS, HOURLY_PAGE, RECORD_PAGE
 
 # Fixed value: a time string must end in a zone.
 ZONED = r"(Z|[+-]\d{2}:?\d{2})$"
+MALFORMED = "_malformed"
 
 
 def read_record_pages(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -26,12 +28,21 @@ def read_record_pages(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     return spark.read.schema(RECORD_PAGE).json(paths, multiLine=True, mode="FAILFAST")
 
 
-def parse_record_pages(df: DataFrame, column: str) -> DataFrame:
-    """Record pages from a string column."""
-    page = F.from_json(column, RECORD_PAGE, {"mode": "FAILFAST"})
+def _parsed(df: DataFrame, column: str, schema: T.StructType, keep_malformed: bool) -> DataFrame:
+    """Pages from a string column: malformed text fails, or is kept in ``_malformed``."""
+    options = {"mode": "FAILFAST"}
+    if keep_malformed:
+        schema = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    page = F.from_json(column, schema, options)
     return df.select(page.alias("_page")).select("_page.*")
 
 
+def parse_record_pages(df: DataFrame, column: str, keep_malformed: bool = False) -> DataFrame:
+    """Record pages from a string column."""
+    return _parsed(df, column, RECORD_PAGE, keep_malformed)
+
+
 def explode_records(pages: DataFrame) -> DataFrame:
     """One row per record, still as landed (time is text).
 
@@ -61,9 +72,9 @@ def read_hourly_pages(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     return spark.read.schema(HOURLY_PAGE).json(paths, multiLine=True, mode="FAILFAST")
 
 
-def parse_hourly_pages(df: DataFrame, column: str) -> DataFrame:
-    page = F.from_json(column, HOURLY_PAGE, {"mode": "FAILFAST"})
-    return df.select(page.alias("_page")).select("_page.*")
+def parse_hourly_pages(df: DataFrame, column: str, keep_malformed: bool = False) -> DataFrame:
+    """Hourly-array pages from a string column."""
+    return _parsed(df, column, HOURLY_PAGE, keep_malformed)
 
 
 def explode_hourly(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,18 @@ class Store:
     ) -> DataFrame:
         return tables.read_table(self.spark, self.path(name), TABLES[name], first_day, last_day)
 
+    def last_day(self, name: str) -> str | None:
+        """The newest day of a table, from its folder names; None if it has none."""
+        return tables.last_day(self.spark, self.path(name), TABLES[name])
+
+    def day_files(self, name: str) -> DataFrame:
+        """(day, files): a digest of each day's file names."""
+        return tables.day_files(self.spark, self.path(name), TABLES[name])
+
+    def read_days(self, name: str, days: Sequence[str]) -> DataFrame:
+        """The given days only; no other folder is listed."""
+        return tables.read_days(self.spark, self.path(name), TABLES[name], days)
+
     def append(self, name: str, df: DataFrame) -> None:
         tables.append(df, self.path(name), TABLES[name])
 
