@@ -1,7 +1,7 @@
 """The jobs that bring landed pages and archives into the tables.
 
 A page that breaks its contract fails the job (``policy='fail'``), or is set aside with the
-names of the broken rules and its raw text (``'quarantine'``) while the good pages go on.
+names of the broken rules (``'quarantine'``; malformed text is kept) while the good pages go on.
 All jobs upsert by key with the newest ingestion winning, so repeats and re-runs are safe.
 """
 
