@@ -92,6 +92,14 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(F.lit(False) if least is None else octave >= least)
 
 
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether each node of the distinct pairs (a, b) is either a centre b or has one centre."""
+    ends = pairs.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(pairs.select("b", F.lit(0), F.lit(1)))
+    places = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return places.where("up + down > 1").isEmpty()
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component: its smallest node.
 
@@ -109,7 +117,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct()
     )
     for _ in range(max_rounds):
-        if pairs.isEmpty():
+        if _are_stars(pairs):
             break
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
@@ -122,17 +130,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         )
         lowest = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(lowest, "a")
-        linked = (
+        pairs = stage(
             small.select(F.col("b").alias("a"), F.col("low").alias("b"))
             .union(lowest.select("a", F.col("low").alias("b")))
             .where(F.col("a") != F.col("b"))
             .distinct()
         )
-        after = stage(linked)
-        done = after.exceptAll(pairs).isEmpty() and pairs.exceptAll(after).isEmpty()
-        pairs = after
-        if done:
-            break
     else:
         raise RuntimeError("components did not settle")
     roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
