@@ -7,6 +7,8 @@ priority.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,10 +28,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def consumption(spark: SparkSession, sf_dir: str, key: str = "event_type") -> DataFrame:
+def events(
+    spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """Events whose hour can lie in ``[since, until]``.
+
+    A slot is the hour of ``ts``, which no bound on slots passes on its way to the files;
+    these bounds, widened to whole hours, are on ``ts`` itself and reach the scan.
+    """
+    rows = table(spark, sf_dir, "events")
+    kind = rows.schema["ts"].dataType
+    if since is not None:
+        rows = rows.filter(F.col("ts") >= F.lit(hour_text(since)).cast(kind))
+    if until is not None:
+        rows = rows.filter(F.col("ts") < F.lit(hour_text(until, 1)).cast(kind))
+    return rows
+
+
+def hour_text(text: str, hours: int = 0) -> str:
+    """The containing hour of an ISO time, moved by whole hours."""
+    whole = datetime.fromisoformat(text).replace(minute=0, second=0, microsecond=0)
+    return (whole + timedelta(hours=hours)).isoformat()
+
+
+def consumption(
+    spark: SparkSession,
+    sf_dir: str,
+    key: str = "event_type",
+    since: str | None = None,
+    until: str | None = None,
+) -> DataFrame:
     """Raw hourly records: slot, key, value, ingestion time, record id."""
     ts = F.col("ts").cast("timestamp")
-    return table(spark, sf_dir, "events").select(
+    return events(spark, sf_dir, since, until).select(
         F.date_trunc("hour", ts).alias("date_heure"),
         F.col(key).alias("region" if key == "event_type" else key),
         F.col("value").alias("consommation"),
@@ -38,10 +69,10 @@ def consumption(spark: SparkSession, sf_dir: str, key: str = "event_type") -> Da
     )
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
     """Several readings of three measures per hour and key."""
     ts = F.col("ts").cast("timestamp")
-    return table(spark, sf_dir, "events").select(
+    return events(spark, sf_dir, since).select(
         F.date_trunc("hour", ts).alias("date_heure"),
         F.col("event_type").alias("region"),
         F.get_json_object("props", "$.k").cast("double").alias("temperature_celsius"),

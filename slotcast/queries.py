@@ -232,9 +232,9 @@ def plan_periods_year(spark, sf):
 
 @query
 def read_backfill(spark, sf):
+    start, end = "2024-01-01T06:00:00", "2024-01-30T12:00:00"
     return landed.read_backfill(
-        b.consumption(spark, sf), HOURLY, "2024-01-01T06:00:00", "2024-01-30T12:00:00",
-        b.keys(spark, sf),
+        b.consumption(spark, sf, since=start, until=end), HOURLY, start, end, b.keys(spark, sf)
     )
 
 
@@ -274,7 +274,9 @@ def since_with_overlap(spark, sf):
 
 @query
 def refresh_window(spark, sf):
-    return incremental.refresh_window(b.consumption(spark, sf), HOURLY, AS_OF)
+    start = b.hour_text(AS_OF, -incremental.REFRESH_HOURS)
+    raw = b.consumption(spark, sf, since=start, until=AS_OF)
+    return incremental.refresh_window(raw, HOURLY, AS_OF)
 
 
 # --- cleaning ------------------------------------------------------------------------
@@ -294,10 +296,9 @@ def dedupe_latest_non_null(spark, sf):
 
 @query
 def time_range(spark, sf):
-    return clean.time_range(
-        b.consumption(spark, sf), "date_heure", "2024-01-03T00:00:00", "2024-01-28T00:00:00",
-        end_open=True,
-    )
+    start, end = "2024-01-03T00:00:00", "2024-01-28T00:00:00"
+    raw = b.consumption(spark, sf, since=start, until=end)
+    return clean.time_range(raw, "date_heure", start, end, end_open=True)
 
 
 @query
@@ -377,9 +378,11 @@ def build_features(spark, sf):
 
 @query
 def build_features_since(spark, sf):
+    since = "2024-01-12T03:00:00"
+    start = b.hour_text(since, -features.ROLLING_HOURS)
     return feature_job.build_features(
-        b.consumption(spark, sf), b.weather(spark, sf), HOURLY,
-        since="2024-01-12T03:00:00", tiebreak=TIE,
+        b.consumption(spark, sf, since=start), b.weather(spark, sf, since=since), HOURLY,
+        since=since, tiebreak=TIE,
     )
 
 

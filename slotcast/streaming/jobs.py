@@ -1,12 +1,12 @@
 """Streaming forms: keyed upsert, windowed means, repeat suppression, rolling metrics.
 
 Sources are landed files; every query takes its checkpoint folder from the caller and
-can run continuously or, with ``availableNow``, as one incremental batch.
+runs as one incremental batch or, with another ``trigger``, continuously.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,9 @@ from ..plans.metrics_job import run_metrics
 from ..schemas import WEATHER_MEASURES
 from ..store import Store
 
+# One pass over what has landed; ``{"processingTime": "1 minute"}`` runs on.
+ONCE = {"availableNow": True}
+
 # Fixed value: how late a row may be.
 LATE = "6 hours"
 
@@ -45,6 +48,7 @@ def stream_upsert(
     checkpoint: str,
     rules: Rules | None = None,
     policy: str = "fail",
+    trigger: Mapping[str, object] = ONCE,
 ) -> StreamingQuery:
     """Upsert every micro-batch by key, the latest ingestion winning, however late it is.
 
@@ -60,7 +64,7 @@ def stream_upsert(
     return (
         source.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -100,6 +104,7 @@ def stream_metrics(
     as_of: str | Callable[[], str],
     n_keys: int,
     checkpoint: str,
+    trigger: Mapping[str, object] = ONCE,
 ) -> StreamingQuery:
     """Land each micro-batch of actuals, then refresh the day's metrics snapshot.
 
@@ -116,7 +121,7 @@ def stream_metrics(
     return (
         source.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -128,13 +133,15 @@ def run_to_end(query: StreamingQuery) -> None:
         raise query.exception()
 
 
-def write_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def write_files(
+    stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] = ONCE
+) -> StreamingQuery:
     """Append finished rows to a Parquet folder, exactly once."""
     return (
         stream.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

@@ -12,6 +12,7 @@ from slotcast.grid import DAY, HOUR, Grid
 from slotcast.operators import clean, features
 from slotcast.plans.feature_job import build_features
 from slotcast.plans.forecast_job import forecast_frame
+from slotcast.queries import QUERIES
 
 HOURLY = Grid(step=HOUR, scale=2)
 WEATHER = (
@@ -131,3 +132,10 @@ def test_quarter_hour_forecast_frame_equals_brute_force(spark):
         assert r.consommation_rolling_168h == pytest.approx(sum(window) / len(window), abs=1e-9)
         hours = (r.forecast_horizon_dt - at("2024-05-01T00:00:00")).total_seconds() // 3600
         assert r.temperature_celsius == hours
+
+
+@pytest.mark.parametrize("name", ["time_range", "refresh_window", "read_backfill", "build_features_since"])
+def test_time_bounds_reach_the_scan(spark, name):
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
+    assert any("GreaterThanOrEqual(ts" in filters for filters in pushed), pushed

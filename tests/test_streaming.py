@@ -128,3 +128,20 @@ def test_metrics_follow_each_batch(spark, series, tmp_path):
     assert run() == {"A": 1.0}
     land(series([("2024-01-01T00:00:00", "B", 8.0)]), landing)
     assert run() == {"A": 1.0, "B": 3.0, "France": 2.0}
+
+
+def test_a_running_stream_takes_files_as_they_land(spark, series, grid, tmp_path):
+    store, landing = Store(spark, str(tmp_path / "store")), tmp_path / "landing"
+    land(series([("2024-01-02T00:00:00", "A", 1.0)]), landing)
+    source = jobs.read_landed(spark, str(landing), CONSUMPTION)
+    query = jobs.stream_upsert(
+        source, store, "consumption", grid, str(tmp_path / "c"), trigger={"processingTime": "0 seconds"}
+    )
+    try:
+        query.processAllAvailable()
+        land(series([("2024-01-02T00:15:00", "A", 2.0)]), landing)
+        query.processAllAvailable()
+        assert query.isActive
+        assert store.read("consumption").count() == 2
+    finally:
+        query.stop()
