@@ -60,8 +60,11 @@ def prediction_error_sample(
     n: int = 5000,
     seed: int = 42,
 ) -> DataFrame:
-    """Seeded sample of ``n`` rows with residuals; a distributed top-k by hash of the ids."""
-    lottery = F.xxhash64(*ids, F.lit(seed))
+    """Seeded sample of ``n`` rows with residuals; a distributed top-k by MD5 of the ids.
+
+    The digest is of the ids and the seed as text, so other engines draw the same rows.
+    """
+    lottery = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in ids], F.lit(str(seed))))
     return (
         df.select(
             *ids,

@@ -248,6 +248,9 @@ SQL = {
         UNION ALL SELECT 'lag_168h', {scores('consommation_lag_168h')} FROM {BASE})""",
     "mae_by_key": f"""SELECT region, {exact_mean('abs(consommation_lag_24h - consommation)')} AS mae
         FROM {BASE} GROUP BY 1""",
+    "prediction_error_sample": f"""SELECT date_heure, region, consommation AS actual,
+        consommation_lag_24h AS predicted, consommation - consommation_lag_24h AS residual FROM {BASE}
+        ORDER BY md5(strftime(date_heure, '%Y-%m-%d %H:%M:%S') || '|' || region || '|42'), 1, 2 LIMIT 5000""",
     "latest_run": """SELECT o_orderkey, o_orderdate FROM orders
         ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1""",
     "stale_versions": """SELECT o_custkey, run_time FROM (SELECT *, row_number() OVER (
