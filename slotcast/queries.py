@@ -44,7 +44,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 TIE = ["event_id"]
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
 LABELS = ["click", "error", "purchase", "signup", "view"]
 DAILY_UTC = Grid(step=DAY, scale=2, tz="UTC")
 
@@ -67,6 +66,25 @@ def query(function: Query) -> Query:
 # --- shared inputs -------------------------------------------------------------------
 
 
+def day_range(rows: DataFrame, time: str = "date_heure", later: int = 0) -> tuple[str, str]:
+    """First and last UTC day that hold a row, by one min/max aggregate, moved by ``later`` days.
+
+    A table without rows has no keys either, so its one day gives no slots.
+    """
+    low, high = rows.agg(
+        *[F.date_add(F.coalesce(f(time).cast("date"), F.lit("1970-01-01").cast("date")), later) for f in (F.min, F.max)]
+    ).first()
+    return low.isoformat(), high.isoformat()
+
+
+def event_days(spark: SparkSession, sf: str, later: int = 0) -> tuple[str, str]:
+    return day_range(b.events(spark, sf).select(F.col("ts").cast("timestamp").alias("ts")), "ts", later)
+
+
+def order_days(spark: SparkSession, sf: str, later: int = 0) -> tuple[str, str]:
+    return day_range(b.table(spark, sf, "orders"), "o_orderdate", later)
+
+
 def eco(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicated hourly series."""
     return clean.dedupe_latest(b.consumption(spark, sf), HOURLY, TIE)
@@ -97,13 +115,13 @@ def train_rows(spark: SparkSession, sf: str, exog_at: str = "target_time", **opt
 
 def frame_rows(spark: SparkSession, sf: str, **options) -> DataFrame:
     return forecast_job.forecast_frame(
-        eco(spark, sf), hourly(spark, sf), b.keys(spark, sf), FIRST_DAY, LAST_DAY, HOURLY, **options
+        eco(spark, sf), hourly(spark, sf), b.keys(spark, sf), *event_days(spark, sf), HOURLY, **options
     )
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Naive predictions of every day; only lags are computed, not the whole frame."""
-    slots = horizon.scaffold(b.keys(spark, sf), FIRST_DAY, LAST_DAY, HOURLY)
+    slots = horizon.scaffold(b.keys(spark, sf), *event_days(spark, sf), HOURLY)
     rows = horizon.lag_fallback(
         horizon.aligned_lags(slots, eco(spark, sf), HOURLY, lags=(24, 48)), HOURLY
     )
@@ -119,7 +137,7 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 def metrics(spark: SparkSession, sf: str) -> DataFrame:
     matched = quality.match_all(predictions(spark, sf), b.consumption(spark, sf), HOURLY, TIE)
-    return quality.metrics_backfill(matched, HOURLY, N_KEYS, "2024-01-02", "2024-01-31")
+    return quality.metrics_backfill(matched, HOURLY, N_KEYS, *event_days(spark, sf, later=1))
 
 
 def stored_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -408,19 +426,19 @@ def horizon_slots(spark, sf):
 
 @query
 def scaffold(spark, sf):
-    return horizon.scaffold(b.keys(spark, sf), FIRST_DAY, LAST_DAY, HOURLY)
+    return horizon.scaffold(b.keys(spark, sf), *event_days(spark, sf), HOURLY)
 
 
 @query
 def aligned_lags(spark, sf):
-    slots = horizon.scaffold(b.keys(spark, sf), FIRST_DAY, LAST_DAY, HOURLY)
+    slots = horizon.scaffold(b.keys(spark, sf), *event_days(spark, sf), HOURLY)
     return horizon.aligned_lags(slots, eco(spark, sf), HOURLY)
 
 
 @query
 def lag_fallback(spark, sf):
     slots = horizon.scaffold(
-        b.daily_keys(spark, sf), "1995-01-01", "2001-08-01", DAILY_UTC, anchor_hour=0
+        b.daily_keys(spark, sf), *order_days(spark, sf), DAILY_UTC, anchor_hour=0
     )
     rows = horizon.aligned_lags(slots, b.daily(spark, sf), DAILY_UTC)
     return horizon.lag_fallback(rows, DAILY_UTC).drop("anchor")
@@ -429,7 +447,7 @@ def lag_fallback(spark, sf):
 @query
 def lag_fallback_count(spark, sf):
     slots = horizon.scaffold(
-        b.daily_keys(spark, sf), "1995-01-01", "2001-08-01", DAILY_UTC, anchor_hour=0
+        b.daily_keys(spark, sf), *order_days(spark, sf), DAILY_UTC, anchor_hour=0
     )
     rows = horizon.aligned_lags(slots, b.daily(spark, sf), DAILY_UTC, lags=(24, 48))
     return horizon.fallback_count(horizon.lag_fallback(rows, DAILY_UTC))
@@ -437,7 +455,7 @@ def lag_fallback_count(spark, sf):
 
 @query
 def aligned_rolling(spark, sf):
-    slots = horizon.scaffold(b.keys(spark, sf), FIRST_DAY, LAST_DAY, HOURLY)
+    slots = horizon.scaffold(b.keys(spark, sf), *event_days(spark, sf), HOURLY)
     return horizon.aligned_rolling(slots, eco(spark, sf), HOURLY).drop("anchor")
 
 
@@ -452,7 +470,7 @@ def forecast_frame_as_known(spark, sf):
     late = F.col("_ingested_at") + F.expr("INTERVAL 30 HOUR")
     return forecast_job.forecast_frame(
         b.consumption(spark, sf).withColumn("_ingested_at", late), hourly(spark, sf),
-        b.keys(spark, sf), FIRST_DAY, LAST_DAY, HOURLY, as_known=True, tiebreak=TIE,
+        b.keys(spark, sf), *event_days(spark, sf), HOURLY, as_known=True, tiebreak=TIE,
     )
 
 
@@ -548,20 +566,18 @@ def daily_training(spark, sf):
 
 @query
 def walk_forward_folds(spark, sf):
-    """Training rows, split and baseline error for each of the 2,400 days of the daily series."""
-    return backtest.fold_summary(
-        daily_training(spark, sf), DAILY, "1995-01-01", "2001-08-02", "consommation_lag_24h"
-    )
+    """Training rows, split and baseline error for each day of the daily series and the one after."""
+    first, last = order_days(spark, sf)[0], order_days(spark, sf, later=1)[1]
+    return backtest.fold_summary(daily_training(spark, sf), DAILY, first, last, "consommation_lag_24h")
 
 
 @query
 def walk_forward(spark, sf):
     frame = train_rows(spark, sf, exog_at="reference")
-    folds = backtest.fold_summary(
-        frame, HOURLY, FIRST_DAY, LAST_DAY, "consommation_lag_24h"
-    )
+    days = event_days(spark, sf)
+    folds = backtest.fold_summary(frame, HOURLY, *days, "consommation_lag_24h")
     return backtest.walk_forward_naive(
-        eco(spark, sf), hourly(spark, sf), b.keys(spark, sf), HOURLY, FIRST_DAY, LAST_DAY, folds
+        eco(spark, sf), hourly(spark, sf), b.keys(spark, sf), HOURLY, *days, folds
     )
 
 
