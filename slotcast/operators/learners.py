@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ LEARNER = {
     "seed": 42,
 }
 MAX_ROUNDS = 500
+PATIENCE = 50
 
 
 def _stages(
@@ -78,6 +80,39 @@ def _usable(df: DataFrame, target: str) -> DataFrame:
     return df.filter(F.col(target).isNotNull())
 
 
+def best_round(errors: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """Round with the least error before ``patience`` rounds bring no less, and whether that ended it."""
+    best = 0
+    for at, error in enumerate(errors):
+        if error < errors[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The ensemble of the first trees, which is what a fit of so many rounds gives."""
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    jvm = gateway.jvm
+    ml = jvm.org.apache.spark.ml.regression
+
+    def head(kind, values):
+        part = gateway.new_array(kind, rounds)
+        for k in range(rounds):
+            part[k] = values[k]
+        return part
+
+    cut = ml.GBTRegressionModel(
+        model.uid,
+        head(ml.DecisionTreeRegressionModel, java.trees()),
+        head(jvm.double, java.treeWeights()),
+        model.numFeatures,
+    )
+    java.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap.empty())
+    return model._copyValues(GBTRegressionModel(cut))
+
+
 def fit_gbt(
     train: DataFrame,
     val: DataFrame,
@@ -86,12 +121,14 @@ def fit_gbt(
     target: str = "consommation",
     rounds: int = MAX_ROUNDS,
     loss: str = "squared",
+    patience: int = PATIENCE,
     **settings,
 ) -> tuple[PipelineModel, int]:
     """Fit on ``train`` and keep the number of rounds with the least absolute error on ``val``.
 
-    Spark has no patience setting: all rounds are fitted, the validation error of every
-    prefix is measured, and a shorter model is fitted again with the same seed.
+    Rounds end once ``patience`` of them bring no lower validation error.  Spark can neither
+    wait so long nor go on from a fit: fits of a little over the patience and then twice the
+    rounds each time, whose trees begin alike, are measured at every prefix, and the last is cut.
     """
     stages = _stages(labels, key, target, loss, rounds, **settings)
     ensure_checkpoint_dir(train.sparkSession)
@@ -100,16 +137,18 @@ def fit_gbt(
     # Read once per round: kept in memory or on local disk, recomputed where lost.
     fit_rows = prepare.transform(_usable(train, target)).select("features", target).persist()
     val_rows = prepare.transform(_usable(val, target)).select("features", target).persist()
+    size = 0
     try:
-        model = learner.fit(fit_rows)
-        errors = model.evaluateEachIteration(val_rows, "absolute")
-        best = min(range(len(errors)), key=errors.__getitem__) + 1
-        if best < len(errors):
-            model = learner.copy({learner.maxIter: best}).fit(fit_rows)
+        while True:
+            size = min(rounds, 2 * size or patience + patience // 5)
+            model = learner.copy({learner.maxIter: size}).fit(fit_rows)
+            best, ended = best_round(model.evaluateEachIteration(val_rows, "absolute"), patience)
+            if ended or size == rounds:
+                break
     finally:
         fit_rows.unpersist()
         val_rows.unpersist()
-    return PipelineModel(stages=[*prepare.stages, model]), best
+    return PipelineModel(stages=[*prepare.stages, first_rounds(model, best)]), best
 
 
 def fit_alt_learner(train: DataFrame, val: DataFrame, labels: Sequence[str], **options):

@@ -1078,13 +1078,11 @@ def stream_metrics(spark, sf):
 
 # --- learners: checked for rows; trees have no SQL form -------------------------------------
 
-SMALL = {"rounds": 5, "maxDepth": 4, "stepSize": 0.3}
-
 
 def fitted(spark, sf, fit=learners.fit_gbt):
     split = training.time_split(stage(train_rows(spark, sf)), "date_heure")
     train, val = (split.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
-    model, best = fit(train, val, LABELS, **SMALL)
+    model, best = fit(train, val, LABELS)
     return model, best, val
 
 
@@ -1127,7 +1125,7 @@ def permutation_importance(spark, sf):
 @query
 def run_log(spark, sf):
     root = shared_folder(spark)
-    training_job.train(train_rows(spark, sf), HOURLY, LABELS, root, AS_OF, **SMALL)
+    training_job.train(train_rows(spark, sf), HOURLY, LABELS, root, AS_OF)
     return training_job.read_runs(spark, f"{root}/runs")
 
 
@@ -1143,7 +1141,7 @@ def walk_forward_gbt(spark, sf):
             return None
         split = training.time_split(frame, "date_heure")
         train, val = (split.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
-        return learners.fit_gbt(train, val, LABELS, **SMALL)[0]
+        return learners.fit_gbt(train, val, LABELS)[0]
 
     def forecast(day, model):
         frame = forecast_job.forecast_frame(history, readings, keys_, day, day, HOURLY)
@@ -1168,6 +1166,6 @@ def full_rebuild(spark, sf):
     feeds = [raw.filter(F.col("event_id") % 2 == parity).drop("event_id") for parity in (0, 1)]
     rebuild.full_rebuild(
         store, HOURLY, feeds, b.weather(spark, sf), LABELS, "2023-12-31T00:00:00", AS_OF,
-        "2024-01-29", **SMALL,
+        "2024-01-29",
     )
     return store.read("predictions").drop("model_version")

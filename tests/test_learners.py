@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from slotcast.operators import learners, training
@@ -108,3 +110,30 @@ def test_the_best_prefix_is_kept(frame):
     )
     assert best < 12
     assert model.stages[-1].getNumTrees == best
+
+
+def test_patience_ends_at_the_best_round():
+    assert learners.best_round([5, 3, 4, 4, 2], patience=2) == (2, True)
+    assert learners.best_round([5, 3, 4, 2, 4], patience=2) == (4, False)
+    assert learners.best_round([3, 2, 1], patience=50) == (3, False)
+
+
+def test_cut_ensemble_is_the_shorter_fit(spark):
+    rows = spark.range(300).selectExpr("cast(id % 7 as double) x", "cast(id % 5 as double) y")
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows).persist()
+    fit = GBTRegressor(labelCol="y", seed=42, maxDepth=2, subsamplingRate=0.8)
+    cut = learners.first_rounds(fit.setMaxIter(6).fit(rows), 3)
+    short = fit.setMaxIter(3).fit(rows)
+    assert cut.getNumTrees == 3 and cut.treeWeights == short.treeWeights
+    assert cut.transform(rows).collect() == short.transform(rows).collect()
+
+
+def test_registered_queries_use_the_operators_settings(spark, monkeypatch):
+    from slotcast import queries
+
+    seen = []
+    rows = spark.range(10).selectExpr("timestamp_seconds(id) date_heure", "id")
+    monkeypatch.setattr(queries, "train_rows", lambda *a, **k: rows)
+    for name in ("fit_gbt", "fit_alt_learner"):
+        queries.fitted(spark, "", lambda *a, **options: seen.append(options) or (None, 1))
+    assert seen == [{}, {}]
