@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date, timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1131,9 +1132,18 @@ def run_log(spark, sf):
 
 @query
 def walk_forward_gbt(spark, sf):
-    """Weekly refits; each forecasts the day it was fitted for."""
+    """A refit for every day of the table; each forecasts the day it was fitted for.
+
+    Features, readings and series are written once; every fold filters them by its cutoff.
+    """
     store = new_store(spark)
-    history, readings, keys_ = eco(spark, sf), hourly(spark, sf), b.keys(spark, sf)
+    rows, raw = stage(feature_rows(spark, sf)), stage(b.consumption(spark, sf))
+    history, readings, keys_ = stage(eco(spark, sf)), stage(hourly(spark, sf)), stage(b.keys(spark, sf))
+
+    def frame_for(day):
+        return training.training_frame(
+            rows, raw, HOURLY, cutoff=f"{day}T01:00:00", hourly=readings, tiebreak=TIE
+        )
 
     def fit(frame):
         frame = stage(frame)
@@ -1149,12 +1159,10 @@ def walk_forward_gbt(spark, sf):
             learners.score(model, frame), HOURLY, F.lit("gbt"), F.lit(day), F.col("anchor")
         )
 
+    first, last = map(date.fromisoformat, event_days(spark, sf))
+    days = [(first + timedelta(days=k)).isoformat() for k in range((last - first).days + 1)]
     backtest.walk_forward_model(
-        ["2024-01-15", "2024-01-22", "2024-01-29"],
-        lambda day: train_rows(spark, sf, cutoff=f"{day}T01:00:00"),
-        fit,
-        forecast,
-        lambda rows: store.upsert("predictions", rows),
+        days, frame_for, fit, forecast, lambda rows: store.upsert("predictions", rows)
     )
     return store.read("predictions")
 

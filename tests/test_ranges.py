@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from slotcast.operators import learners, training
 from slotcast.queries import QUERIES, event_days
 
 
@@ -50,3 +51,13 @@ def test_predictions_and_metrics_reach_the_last_day(spark, moved):
 def test_daily_series_to_its_own_end(spark, moved):
     first, last = QUERIES["lag_fallback"](spark, moved).agg(F.min("forecast_date"), F.max("forecast_date")).first()
     assert (str(first), str(last)) == ("2001-07-20", "2001-08-05")
+
+
+def test_learned_walk_forward_predicts_every_day_past_the_gate(spark, moved, monkeypatch):
+    fit = learners.fit_gbt
+    monkeypatch.setattr(learners, "fit_gbt", lambda *a: fit(*a, rounds=1, maxDepth=1))
+    monkeypatch.setattr(training, "enough_rows", lambda frame: frame.limit(144).count() >= 144)
+    days = QUERIES["walk_forward_gbt"](spark, moved).select("forecast_date").distinct().collect()
+    assert sorted(str(r[0]) for r in days) == [
+        "2024-01-30", "2024-01-31", *(f"2024-02-0{d}" for d in range(1, 7))
+    ]
