@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, language_model, licenses, lines, near, packing, quality, unigram, urls
-from .common import table
+from . import bpe, exact, language_model, licenses, lines, near, packing, quality, runs, unigram, urls
+from .common import GAP, free_name, table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,42 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth text by the CRC-32 of its id made periodic from some word on: the planted runs of op11.
+
+    With h the CRC-32, g = h div 10 and n words: word i >= a becomes word a + (i - a) % p, where
+    a = g % n and p = 1 + (n - a) div (3 + g % 8).
+    """
+    words, n = free_name(docs, "words"), F.size
+    out = docs.withColumn("_h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    out = out.withColumn(words, F.when(F.col("_h") % 10 == 0, F.filter(F.split(text_of("text"), GAP), lambda w: w != "")))
+    g, count = F.floor(F.col("_h") / 10), n(F.col(words)).cast("long")
+    out = out.withColumn("_a", (g % count).cast("int"))
+    rest = count - F.col("_a")
+    out = out.withColumn("_p", (1 + F.floor(rest / (3 + g % 8))).cast("int"))
+    unit = F.slice(words, F.col("_a") + 1, F.col("_p"))
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil(rest / F.col("_p")).cast("int"))), F.lit(1), rest.cast("int"))
+    made = F.concat_ws(" ", F.concat(F.slice(words, F.lit(1), F.col("_a")), tail))
+    return out.withColumn("text", F.when(n(F.col(words)) > 0, made).otherwise(F.col("text"))).select(*docs.columns)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(repeated_tails(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines_ = F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(lines_, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -75,5 +111,6 @@ QUERIES: dict[str, Query] = {
         op8_packing,
         op9_license_scans,
         op10_bpe_round_trip,
+        op11_periodic_runs,
     )
 }
