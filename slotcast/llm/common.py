@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,19 @@ def columns(batch: pa.RecordBatch, *names: str) -> list[list]:
     return out
 
 
+def parts(batch: pa.RecordBatch, name: str, most: int = 16_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts hold about ``most`` bytes at most, or one text each."""
+    text = batch.column(batch.schema.get_field_index(name))
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(text), 0).cast(pa.int64())).to_pylist()
+    first, before = 0, 0
+    for at, end in enumerate(ends):
+        if end - before > most and at > first:
+            yield batch.slice(first, at - first)
+            first, before = at, ends[at - 1]
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 def plain_docs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just (doc_id, text), whatever else the table carries; null texts become empty."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))

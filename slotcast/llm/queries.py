@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, language_model, licenses, lines, near, packing, quality, runs, unigram, urls
+from . import bpe, exact, language_model, licenses, lines, near, packing, quality, runs, spelling, unigram, urls
 from .common import GAP, free_name, table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +99,26 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dropped_letters(doc_id: int | None, words: dict[bytes, int]) -> dict[bytes, int]:
+    """The planted slips of op13: with h the CRC-32 of "doc_id:word", a word whose h is a multiple
+    of 199 loses its letter h % length.  A null id changes nothing."""
+    if doc_id is None:
+        return words
+    start, crc, out = zlib.crc32(b"%d:" % doc_id), zlib.crc32, dict(words)
+    for word in words:
+        if crc(word, start) % 199 == 0:
+            letters = word.decode()
+            at = crc(word, start) % len(letters)
+            short = (letters[:at] + letters[at + 1 :]).encode()
+            out[short] = out.get(short, 0) + out.pop(word)
+    return out
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), change=dropped_letters)
+    return spelling.spelling_variants(words)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -112,5 +133,6 @@ QUERIES: dict[str, Query] = {
         op9_license_scans,
         op10_bpe_round_trip,
         op11_periodic_runs,
+        op13_spelling_variants,
     )
 }

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, free_name, text_of
+from .common import columns, parts, settings, text_of
 
 #: A run has at least so many words, and so many times its period.
 MIN_LENGTH, MIN_PERIODS = 24, 3
@@ -197,30 +197,33 @@ def strongest(runs: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
 
 
 _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
+_RUN_DDL = "struct<start:bigint,length:bigint,period:bigint>"
+_MADE = [
+    pa.field("n_words", pa.int64()),
+    pa.field("runs", pa.list_(_RUN)),
+    pa.field("strongest", _RUN),
+    pa.field("collapsed", pa.string()),
+]
+_MADE_DDL = f"n_words bigint, runs array<{_RUN_DDL}>, strongest {_RUN_DDL}, collapsed string"
 
 
-def _found(schema: pa.Schema, text_at: int):
+def _found(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row(run):
         return dict(zip(("start", "length", "period"), run)) if run else None
 
-    def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in frames:
-            texts = [t.split() for t in columns(batch, batch.schema.names[text_at])[0]]
+    for whole in frames:
+        for batch in parts(whole, "_text"):
+            texts = [t.split() for t in columns(batch, "_text")[0]]
             found = runs_of(texts)
             collapsed = [b" ".join(kept_words(w, r)) for w, r in zip(texts, found)]
-            made = (
+            made = [
+                batch.column(0),
                 pa.array([len(w) for w in texts], pa.int64()),
                 pa.array([[row(r) for r in runs] for runs in found], pa.list_(_RUN)),
                 pa.array([row(strongest(runs)) for runs in found], _RUN),
                 pa.array(collapsed, pa.binary()).cast(pa.string()),
-            )
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema=_matching(batch, schema))
-
-    return task
-
-
-def _matching(batch: pa.RecordBatch, schema: pa.Schema) -> pa.Schema:
-    return pa.schema([*batch.schema, *schema])
+            ]
+            yield pa.RecordBatch.from_arrays(made, schema=pa.schema([batch.schema[0], *_MADE]))
 
 
 def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,14 +238,8 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     empty result; other columns are not read, and the id's name may be any.  A text is handled
     whole in its row's task, whatever its length.
     """
-    name = free_name(docs.select(id_col), "text")
-    rows = docs.select(id_col, text_of(text_col).alias(name))
-    made = pa.schema([("n_words", pa.int64()), ("runs", pa.list_(_RUN)), ("strongest", _RUN), ("collapsed", pa.string())])
-    run = "struct<start:bigint,length:bigint,period:bigint>"
-    key = rows.schema[0]
-    ddl = f"_id {key.dataType.simpleString()}, _text string, n_words bigint, runs array<{run}>, strongest {run}, collapsed string"
-    return (
-        rows.toDF("_id", "_text")
-        .mapInArrow(_found(made, 1), ddl)
-        .select(F.col("_id").alias(key.name), "n_words", "runs", "strongest", "collapsed")
-    )
+    settings(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
+    kind = rows.schema[0].dataType.simpleString()
+    found = rows.mapInArrow(_found, f"_id {kind}, {_MADE_DDL}")
+    return found.select(F.col("_id").alias(id_col), "n_words", "runs", "strongest", "collapsed")
