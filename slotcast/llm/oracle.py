@@ -1,8 +1,8 @@
 """SQL of the corpus queries that SQL can express, for another engine.
 
-None for op2, op3, op4, op7, op8 and op10: winnowed runs, a trained model, a segmentation
-by dynamic programming, expectation-maximisation, packing and BPE; tests hold these against
-brute force.
+None for op2, op3, op4, op7, op8, op10, op11 and op13: winnowed runs, a trained model, a
+segmentation by dynamic programming, expectation-maximisation, packing, BPE, and planted runs
+and slips that depend on a CRC-32.
 """
 
 from __future__ import annotations
@@ -43,7 +43,8 @@ def op1() -> str:
     """
 
 
-def op5() -> str:
+def _classes(num: int, kept: str = "") -> str:
+    """Components of links of at least ``num`` hundredths, and further columns."""
     return f"""
     WITH RECURSIVE w AS (
       SELECT doc_id, list_filter(string_split_regex({LOW.format("coalesce(text, '')")}, '{GAP}'),
@@ -60,17 +61,25 @@ def op5() -> str:
       FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
     link AS (
       SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-      WHERE 100 * k >= 80 * (x.n + y.n - k)),
+      WHERE 100 * k >= {num} * (x.n + y.n - k)),
     both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
     reach(doc_id, other) AS (
       SELECT doc_id, doc_id FROM documents
       UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON e.a = r.other)
-    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id{kept}
     FROM documents d LEFT JOIN n USING (doc_id)
     JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
     """
 
 
+def op5() -> str:
+    return _classes(80)
+
+
+def op12() -> str:
+    return _classes(85, ", d.doc_id = c.component_id AS kept")
+
+
 def op6() -> str:
     return f"""
     WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{GAP}', ' ', 'g') AS norm FROM documents)
@@ -106,4 +115,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_ngram_jaccard_join": op5(),
         "op6_exact_dedup": op6(),
         "op9_license_scans": op9(),
+        "op12_minhash_hamming": op12(),
     }

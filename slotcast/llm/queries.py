@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, language_model, licenses, lines, near, packing, quality, runs, spelling, unigram, urls
+from . import bpe, exact, hamming, language_model, licenses, lines, near, packing, quality, runs, spelling, unigram, urls
 from .common import GAP, free_name, table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.near_classes(table(spark, sf_dir, "documents"))
+
+
 def dropped_letters(doc_id: int | None, words: dict[bytes, int]) -> dict[bytes, int]:
     """The planted slips of op13: with h the CRC-32 of "doc_id:word", a word whose h is a multiple
     of 199 loses its letter h % length.  A null id changes nothing."""
@@ -133,6 +137,7 @@ QUERIES: dict[str, Query] = {
         op9_license_scans,
         op10_bpe_round_trip,
         op11_periodic_runs,
+        op12_minhash_hamming,
         op13_spelling_variants,
     )
 }
