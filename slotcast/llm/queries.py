@@ -72,7 +72,7 @@ def repeated_tails(docs: DataFrame) -> DataFrame:
     words, n = free_name(docs, "words"), F.size
     out = docs.withColumn("_h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
     out = out.withColumn(words, F.when(F.col("_h") % 10 == 0, F.filter(F.split(text_of("text"), GAP), lambda w: w != "")))
-    g, count = F.floor(F.col("_h") / 10), n(F.col(words)).cast("long")
+    g, count = F.floor(F.col("_h") / 10), F.nullif(n(F.col(words)).cast("long"), F.lit(0))
     out = out.withColumn("_a", (g % count).cast("int"))
     rest = count - F.col("_a")
     out = out.withColumn("_p", (1 + F.floor(rest / (3 + g % 8))).cast("int"))
