@@ -1,25 +1,23 @@
-"""Boosted trees on Spark ML: fit, score, importance.
+"""Boosted trees: fit, score, importance.
 
-The pipeline carries its own missing-value flags and category order, so a saved model
-scores raw feature rows.
+The model carries its labels and bin edges, so a stored one scores raw feature rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import SparkContext
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ranks import ranked
 from ..schemas import MODEL_FEATURES
-from ..session import ensure_checkpoint_dir, stage
+from ..session import stage
+from . import boosting
+from .boosting import Ensemble, Inputs, Settings, best_round
 from .evaluation import eval_metrics
 
-NUMERIC = [
+NUMBERS = [
     "consommation_lag_24h",
     "consommation_lag_48h",
     "consommation_lag_168h",
@@ -27,90 +25,12 @@ NUMERIC = [
     "temperature_celsius",
     "wind_speed_kmh",
     "solar_radiation_wm2",
+    "hour_of_day",
+    "day_of_week",
+    "is_weekend",
+    "is_public_holiday_fr",
+    "month",
 ]
-INTEGER = ["hour_of_day", "day_of_week", "is_weekend", "is_public_holiday_fr", "month"]
-
-# Learner settings; leaf-wise growth with 63 leaves becomes depth 6.
-LEARNER = {
-    "maxDepth": 6,
-    "stepSize": 0.05,
-    "featureSubsetStrategy": "0.8",
-    "subsamplingRate": 0.8,
-    "seed": 42,
-}
-MAX_ROUNDS = 500
-PATIENCE = 50
-
-
-def _stages(
-    labels: Sequence[str], key: str, target: str, loss: str, rounds: int, **settings
-) -> list:
-    # Missing values: a constant next to a flag, so a tree can split them off.  No pass
-    # over the data is needed, and a column that is missing throughout does no harm.
-    filled = [f"COALESCE(NULLIF(CAST({c} AS DOUBLE), DOUBLE('NaN')), 0) AS {c}_filled" for c in NUMERIC]
-    flags = [f"CAST({c} IS NULL OR ISNAN({c}) AS DOUBLE) AS {c}_missing" for c in NUMERIC]
-    whole = [f"CAST({c} AS DOUBLE) AS {c}_num" for c in INTEGER]
-    columns = ", ".join(filled + flags + whole)
-    inputs = SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
-    index = StringIndexerModel.from_labels(
-        list(labels), inputCol=key, outputCol=f"{key}_cat", handleInvalid="keep"
-    )
-    vector = VectorAssembler(
-        inputCols=[
-            f"{key}_cat",
-            *[f"{c}_filled" for c in NUMERIC],
-            *[f"{c}_missing" for c in NUMERIC],
-            *[f"{c}_num" for c in INTEGER],
-        ],
-        outputCol="features",
-    )
-    options = {**LEARNER, "maxBins": max(32, len(labels) + 1), **settings}
-    learner = GBTRegressor(
-        featuresCol="features",
-        labelCol=target,
-        predictionCol="predicted_mw",
-        lossType=loss,
-        maxIter=rounds,
-        **options,
-    )
-    return [inputs, index, vector, learner]
-
-
-def _usable(df: DataFrame, target: str) -> DataFrame:
-    return df.filter(F.col(target).isNotNull())
-
-
-def best_round(errors: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
-    """Round with the least error before ``patience`` rounds bring no less, and whether that ended it."""
-    best = 0
-    for at, error in enumerate(errors):
-        if error < errors[best]:
-            best = at
-        elif at - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The ensemble of the first trees, which is what a fit of so many rounds gives."""
-    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
-    jvm = gateway.jvm
-    ml = jvm.org.apache.spark.ml.regression
-
-    def head(kind, values):
-        part = gateway.new_array(kind, rounds)
-        for k in range(rounds):
-            part[k] = values[k]
-        return part
-
-    cut = ml.GBTRegressionModel(
-        model.uid,
-        head(ml.DecisionTreeRegressionModel, java.trees()),
-        head(jvm.double, java.treeWeights()),
-        model.numFeatures,
-    )
-    java.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap.empty())
-    return model._copyValues(GBTRegressionModel(cut))
 
 
 def fit_gbt(
@@ -119,61 +39,72 @@ def fit_gbt(
     labels: Sequence[str],
     key: str = "region",
     target: str = "consommation",
-    rounds: int = MAX_ROUNDS,
-    loss: str = "squared",
-    patience: int = PATIENCE,
+    task_rows: int | None = None,
     **settings,
-) -> tuple[PipelineModel, int]:
+) -> tuple[Ensemble, int]:
     """Fit on ``train`` and keep the number of rounds with the least absolute error on ``val``.
 
-    Rounds end once ``patience`` of them bring no lower validation error.  Spark can neither
-    wait so long nor go on from a fit: fits of a little over the patience and then twice the
-    rounds each time, whose trees begin alike, are measured at every prefix, and the last is cut.
+    ``settings`` are those of ``boosting.Settings``: up to 500 rounds at 0.05, 63 leaves, a
+    patience of 50.  A round is paid once.  Rows without a target are left out; missing inputs
+    and unknown keys have a bin of their own.
     """
-    stages = _stages(labels, key, target, loss, rounds, **settings)
-    ensure_checkpoint_dir(train.sparkSession)
-    prepare = Pipeline(stages=stages[:-1]).fit(train)
-    learner = stages[-1]
-    # Read once per round: kept in memory or on local disk, recomputed where lost.
-    fit_rows = prepare.transform(_usable(train, target)).select("features", target).persist()
-    val_rows = prepare.transform(_usable(val, target)).select("features", target).persist()
-    size = 0
-    try:
-        while True:
-            size = min(rounds, 2 * size or patience + patience // 5)
-            model = learner.copy({learner.maxIter: size}).fit(fit_rows)
-            best, ended = best_round(model.evaluateEachIteration(val_rows, "absolute"), patience)
-            if ended or size == rounds:
-                break
-    finally:
-        fit_rows.unpersist()
-        val_rows.unpersist()
-    return PipelineModel(stages=[*prepare.stages, first_rounds(model, best)]), best
+    inputs = Inputs(key, list(labels), NUMBERS)
+    model = boosting.fit(train, val, inputs, target, Settings(**settings), task_rows)
+    return model, len(model.trees)
 
 
 def fit_alt_learner(train: DataFrame, val: DataFrame, labels: Sequence[str], **options):
-    """Second learner: the same trees on absolute error."""
+    """Second learner: absolute error, with the median of the residuals in each leaf."""
     return fit_gbt(train, val, labels, loss="absolute", **options)
 
 
-def score(model: PipelineModel, frame: DataFrame) -> DataFrame:
+def score(model: Ensemble, frame: DataFrame) -> DataFrame:
     """The frame with ``predicted_mw`` appended."""
-    return model.transform(frame).select(*frame.columns, "predicted_mw")
+    return frame.withColumn("predicted_mw", boosting.predicted(model))
+
+
+def feature_importance(model: Ensemble) -> list[tuple[str, float]]:
+    """Share of all splits' gain per input feature, largest first."""
+    gains = dict.fromkeys(model.inputs.names, 0.0)
+    for tree in model.trees:
+        for feature, gain in zip(tree.feature, tree.gain):
+            if feature >= 0:
+                gains[model.inputs.names[feature]] += gain
+    total = sum(gains.values()) or 1.0
+    return sorted(((name, gain / total) for name, gain in gains.items()), key=lambda item: (-item[1], item[0]))
+
 
+def permuted(
+    sample: DataFrame, ids: Sequence[str], features: Sequence[str], repeats: int, seed: int
+) -> DataFrame:
+    """One copy of the sample for each (feature, repeat), that feature taken from another row.
 
-def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
-    """Importance per input feature, largest first; flags count for their feature."""
-    names = model.stages[-2].getInputCols()
-    gains: dict[str, float] = {}
-    for name, gain in zip(names, model.stages[-1].featureImportances.toArray().tolist()):
-        for suffix in ("_cat", "_filled", "_missing", "_num"):
-            name = name.removesuffix(suffix)
-        gains[name] = gains.get(name, 0.0) + gain
-    return sorted(gains.items(), key=lambda item: (-item[1], item[0]))
+    Copies are put in the order of an MD5 of their ids; each row takes the value of the next
+    one in it, the last one that of the first: a permutation of the whole sample, found by one
+    global ranking for all copies.  ``ids`` name a row of the sample.
+    """
+    trials = F.array(
+        *[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat")) for f in features for r in range(repeats)]
+    )
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ids]
+    copies = sample.withColumn("_trial", F.explode(trials)).withColumn(
+        "_draw", F.md5(F.concat_ws("|", F.lit(str(seed)), "_trial.feature", F.col("_trial.repeat").cast("string"), *text))
+    )
+    placed = stage(ranked(copies, ["_trial", "_draw", *ids], "_place"))
+    n = F.lit(sample.count())
+    # Every copy has as many rows, so copies begin at the multiples of n.
+    after = F.floor(F.col("_place") / n) * n + (F.col("_place") + 1) % n
+    following = placed.select(F.col("_place").alias("_after"), F.struct(*features).alias("_next"))
+    joined = placed.withColumn("_after", after.cast("long")).join(following, "_after")
+    kept = [c for c in sample.columns if c not in features]
+    return joined.select(
+        "_trial", *kept,
+        *[F.when(F.col("_trial.feature") == f, F.col(f"_next.{f}")).otherwise(F.col(f)).alias(f) for f in features],
+    )
 
 
 def permutation_importance(
-    model: PipelineModel,
+    model,
     val: DataFrame,
     ids: Sequence[str],
     target: str = "consommation",
@@ -181,53 +112,20 @@ def permutation_importance(
     repeats: int = 5,
     fraction: float = 0.05,
     seed: int = 42,
-    group_rows: int = 2000,
+    score_with=score,
 ) -> DataFrame:
-    """Increase of MAE when one feature is shuffled, averaged over repeats.
+    """Increase of MAE when one feature is permuted over the sample, averaged over repeats.
 
-    The sample is copied once per (feature, repeat).  Within random groups of about
-    ``group_rows`` rows every copy takes the feature of the next row in a random order,
-    the last one that of the first: a permutation without positions, computed by one
-    shuffle for all features and repeats, however large the sample.
+    ``score_with(model, frame)`` appends ``predicted_mw``; any learner will do.
     """
     lottery = F.pmod(F.xxhash64(*ids, F.lit(seed)), F.lit(1_000_000))
     columns = dict.fromkeys([*ids, target, *features])
-    sample = stage(val.filter(lottery < int(fraction * 1_000_000)).select(*columns))
-    n_groups = F.greatest(
-        F.lit(1), F.floor(sample.agg(F.count("*")).scalar() / F.lit(group_rows))
-    )
-    trials = F.array(
-        *[
-            F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
-            for f in features
-            for r in range(repeats)
-        ]
-    )
-    copies = (
-        sample.withColumn("_trial", F.explode(trials))
-        .withColumn("_draw", F.xxhash64(*ids, "_trial", F.lit(seed)))
-        .withColumn("_group", F.pmod(F.xxhash64("_draw"), n_groups))
-    )
-    group = Window.partitionBy("_trial", "_group").orderBy("_draw", *ids)
-    values = F.struct(*features)
-    following = F.coalesce(
-        F.lead(values).over(group),
-        F.first(values).over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-    )
-    copies = copies.withColumn("_next", following)
-    shuffled = copies.select(
-        "_trial",
-        F.col(target).alias("_actual"),
-        *[
-            F.when(F.col("_trial.feature") == f, F.col(f"_next.{f}")).otherwise(F.col(f)).alias(f)
-            for f in features
-        ],
-    )
-    scored = score(model, shuffled)
-    per_trial = scored.groupBy("_trial").agg(
-        F.avg(F.abs(F.col("predicted_mw") - F.col("_actual"))).alias("mae")
-    )
-    base = score(model, sample).agg(F.avg(F.abs(F.col("predicted_mw") - F.col(target)))).scalar()
+    rows = val.filter(F.col(target).isNotNull())
+    sample = stage((rows.filter(lottery < int(fraction * 1_000_000)) if fraction < 1 else rows).select(*columns))
+    shuffled = permuted(sample, ids, features, repeats, seed)
+    error = F.avg(F.abs(F.col("predicted_mw") - F.col(target)))
+    per_trial = score_with(model, shuffled).groupBy("_trial").agg(error.alias("mae"))
+    base = score_with(model, sample).agg(error).scalar()
     return (
         per_trial.withColumn("drop", F.col("mae") - base)
         .groupBy(F.col("_trial.feature").alias("feature"))
@@ -239,5 +137,17 @@ def permutation_importance(
     )
 
 
-def validation_metrics(model: PipelineModel, val: DataFrame, target: str) -> DataFrame:
+def validation_metrics(model: Ensemble, val: DataFrame, target: str) -> DataFrame:
     return eval_metrics(score(model, val), target, "predicted_mw")
+
+
+__all__ = [
+    "best_round",
+    "feature_importance",
+    "fit_alt_learner",
+    "fit_gbt",
+    "permutation_importance",
+    "permuted",
+    "score",
+    "validation_metrics",
+]

@@ -5,13 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..files import exists
 from ..functions.timegrid import instant
 from ..grid import Grid
+from ..operators import boosting
 from ..operators.learners import fit_gbt, validation_metrics
 from ..operators.training import MIN_ROWS, VAL_FRACTION, enough_rows, latest_run, time_split
 from ..schemas import MODEL_FEATURES, RUN_LOG
@@ -44,7 +44,7 @@ def train(
     min_rows: int = MIN_ROWS,
     **options,
 ) -> str | None:
-    """Split, fit, store the pipeline under ``root`` and log the run; None below the gate."""
+    """Split, fit, store the model under ``root`` and log the run; None below the gate."""
     with staged(frame) as rows:
         if not enough_rows(rows, min_rows):
             return None
@@ -68,7 +68,7 @@ def _train(
     counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
     quality = validation_metrics(model, val_rows, grid.value).first()
     artifact = f"{root}/models/{run_id}"
-    model.write().overwrite().save(artifact)
+    boosting.save(spark, model, artifact)
     log_run(
         spark,
         f"{root}/runs",
@@ -87,9 +87,9 @@ def _train(
     return run_id
 
 
-def load_latest(spark: SparkSession, root: str) -> tuple[str, PipelineModel]:
-    """Newest run of the log and its pipeline."""
+def load_latest(spark: SparkSession, root: str) -> tuple[str, boosting.Ensemble]:
+    """Newest run of the log and its model."""
     run = latest_run(read_runs(spark, f"{root}/runs"), "run_id", "created_at").first()
     if run is None or run["run_id"] is None:
         raise LookupError(f"no run logged under {root}")
-    return run["run_id"], PipelineModel.load(f"{root}/models/{run['run_id']}")
+    return run["run_id"], boosting.load(spark, f"{root}/models/{run['run_id']}")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date, timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +34,7 @@ from .plans import (
     rebuild,
     training_job,
 )
+from .plans import walk_forward as walk_forward_plan
 from .schemas import CONSUMPTION, WEATHER
 from .session import prepare, shared_folder, stage
 from .sources import dimensions, incremental, landed, periods
@@ -106,7 +106,7 @@ def train_rows(spark: SparkSession, sf: str, exog_at: str = "target_time", **opt
         feature_rows(spark, sf),
         b.consumption(spark, sf),
         HOURLY,
-        as_of=None if "cutoff" in options else AS_OF,
+        as_of=None if "cutoff" in options else options.pop("as_of", AS_OF),
         exog_at=exog_at,
         hourly=hourly(spark, sf),
         tiebreak=TIE,
@@ -1130,41 +1130,26 @@ def run_log(spark, sf):
     return training_job.read_runs(spark, f"{root}/runs")
 
 
-@query
-def walk_forward_gbt(spark, sf):
-    """A refit for every day of the table; each forecasts the day it was fitted for.
+def walked(spark, sf) -> Store:
+    """A learned walk-forward over every day of the table, in a store of its own."""
+    store, days = new_store(spark), event_days(spark, sf)
+    frame = stage(train_rows(spark, sf, as_of=f"{days[0]}T00:00:00"))
+    keys = b.keys(spark, sf)
+    walk_forward_plan.walk_forward(store, frame, frame_rows(spark, sf), keys, HOURLY, LABELS, *days, name="walk")
+    return store
 
-    Features, readings and series are written once; every fold filters them by its cutoff.
-    """
-    store = new_store(spark)
-    rows, raw = stage(feature_rows(spark, sf)), stage(b.consumption(spark, sf))
-    history, readings, keys_ = stage(eco(spark, sf)), stage(hourly(spark, sf)), stage(b.keys(spark, sf))
 
-    def frame_for(day):
-        return training.training_frame(
-            rows, raw, HOURLY, cutoff=f"{day}T01:00:00", hourly=readings, tiebreak=TIE
-        )
+@query
+def walk_forward_gbt(spark, sf):
+    """A refit for every day of the table; each forecasts the day it was fitted for."""
+    return walked(spark, sf).read("predictions")
 
-    def fit(frame):
-        frame = stage(frame)
-        if not training.enough_rows(frame):
-            return None
-        split = training.time_split(frame, "date_heure")
-        train, val = (split.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
-        return learners.fit_gbt(train, val, LABELS)[0]
-
-    def forecast(day, model):
-        frame = forecast_job.forecast_frame(history, readings, keys_, day, day, HOURLY)
-        return forecast_job.stamp_predictions(
-            learners.score(model, frame), HOURLY, F.lit("gbt"), F.lit(day), F.col("anchor")
-        )
 
-    first, last = map(date.fromisoformat, event_days(spark, sf))
-    days = [(first + timedelta(days=k)).isoformat() for k in range((last - first).days + 1)]
-    backtest.walk_forward_model(
-        days, frame_for, fit, forecast, lambda rows: store.upsert("predictions", rows)
-    )
-    return store.read("predictions")
+@query
+def walk_forward_ledger(spark, sf):
+    """Training and validation rows of every fold that was fitted, from the ledger of the runs."""
+    ledger = walk_forward_plan.read_ledger(spark, walked(spark, sf).root)
+    return ledger.select("forecast_date", "n_train", "n_val", "n_features", "val_fraction")
 
 
 @query

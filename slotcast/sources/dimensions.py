@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ranks import ranked
+
 # Code, name, latitude, longitude of the 12 metropolitan regions.
 REGIONS = [
     ("11", "Île-de-France", 48.8566, 2.3522),
@@ -37,6 +39,4 @@ def category_index(keys: DataFrame, key: str) -> DataFrame:
 
     The input is a key dimension: one row per series, not per observation.
     """
-    names = keys.select(key).distinct()
-    order = Window.orderBy(key)
-    return names.withColumn(f"{key}_idx", F.row_number().over(order) - 1)
+    return ranked(keys.select(key).distinct(), [key], f"{key}_idx").withColumn(f"{key}_idx", F.col(f"{key}_idx").cast("int"))
