@@ -71,23 +71,28 @@ HOURS = ", ".join(
 )
 HOUR_TOTAL = " + ".join(f"coalesce(h{h:02d}, 0)" for h in range(24))
 
-STATUS = """SELECT (SELECT max(_ingested_at) FROM raw) AS last_ingest,
-                   (SELECT max(date_heure) FROM eco) AS last_features,
+# 02:00 occurs twice on the night the clock goes back; the first one counts.
+FOLD_DAYS = f"""SELECT CAST(d AS DATE) AS forecast_date, {utc_first('d + INTERVAL 2 HOUR')} AS cutoff
+    FROM generate_series({{first}}, {{last}}, INTERVAL 1 DAY) t(d)"""
+EVENT_DAYS = {"first": "TIMESTAMP '2024-01-01'", "last": "TIMESTAMP '2024-01-30'"}
+LAST_FEATURES = "SELECT max(date_trunc('day', date_heure) + INTERVAL 1 DAY + INTERVAL 110 MINUTE) FROM eco"
+LAST_RUN = f"SELECT max(cutoff) FROM ({FOLD_DAYS.format(**EVENT_DAYS)})"
+
+STATUS = f"""SELECT (SELECT max(_ingested_at) FROM raw) AS last_ingest,
+                   ({LAST_FEATURES}) AS last_features,
+                   ({LAST_RUN}) AS last_train,
                    (SELECT max(forecasted_at) FROM predictions) AS last_forecast,
                    (SELECT max(_computed_at) FROM metrics) AS last_eval"""
 
 AGES = f"""SELECT name, last_at, (epoch_us({NOW}) - epoch_us(last_at)) / 1e6 AS age_s FROM (
     SELECT 'ingest' AS name, max(_ingested_at) AS last_at FROM raw
-    UNION ALL SELECT 'features', max(date_heure) FROM eco
+    UNION ALL SELECT 'features', ({LAST_FEATURES})
+    UNION ALL SELECT 'train', ({LAST_RUN})
     UNION ALL SELECT 'forecast', max(forecasted_at) FROM predictions
     UNION ALL SELECT 'eval', max(_computed_at) FROM metrics)"""
 
 CUT = "TIMESTAMP '2024-01-25 01:00:00'"
 
-# 02:00 occurs twice on the night the clock goes back; the first one counts.
-FOLD_DAYS = f"""SELECT CAST(d AS DATE) AS forecast_date, {utc_first('d + INTERVAL 2 HOUR')} AS cutoff
-    FROM generate_series({{first}}, {{last}}, INTERVAL 1 DAY) t(d)"""
-
 
 def folds(frame: str, first: str, last: str) -> str:
     """Each day's frame spelled out by joining days with rows, then split and scored."""
@@ -262,6 +267,8 @@ SQL = {
     "walk_forward": f"""SELECT p.* FROM predictions p WHERE p.forecast_date IN (
         SELECT forecast_date FROM ({folds('train_ref', "TIMESTAMP '2024-01-01'",
                                           "TIMESTAMP '2024-01-30'")}) WHERE fit)""",
+    "walk_forward_ledger": f"""SELECT forecast_date, n_train, n_val, 13 AS n_features, 0.2e0 AS val_fraction
+        FROM ({folds('train_ref', EVENT_DAYS['first'], EVENT_DAYS['last'])}) WHERE fit""",
     # quality
     "match_actuals": f"SELECT * FROM {RECENT}",
     "key_metrics": f"SELECT {METRIC} FROM {RECENT_KEY}",

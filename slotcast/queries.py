@@ -639,10 +639,16 @@ def recent_actuals(spark, sf):
 
 
 def status(spark, sf):
+    """Stamps of the tables: features as the job of the next day, 01:50, would write them, and a
+    training run at each day's cutoff."""
+    written = F.date_add(F.to_date("date_heure"), 1).cast("timestamp") + F.expr("INTERVAL 110 MINUTE")
+    keys = b.keys(spark, sf)
+    runs = backtest.fold_days(keys, *event_days(spark, sf), HOURLY.tz)
     return monitor.system_status(
         {
             "ingest": (b.consumption(spark, sf), "_ingested_at"),
-            "features": (feature_rows(spark, sf), "date_heure"),
+            "features": (eco(spark, sf).withColumn("_materialized_at", written), "_materialized_at"),
+            "train": (runs.withColumn("created_at", F.timestamp_seconds("cutoff")), "created_at"),
             "forecast": (predictions(spark, sf), "forecasted_at"),
             "eval": (metrics(spark, sf), "_computed_at"),
         }

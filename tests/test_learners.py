@@ -1,11 +1,9 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from slotcast.operators import learners, training
+from slotcast.operators import boosting, learners, training
 from slotcast.plans import training_job
 from slotcast.schemas import MODEL_FEATURES
 
@@ -64,8 +62,7 @@ def test_importance_names_inputs_and_sums_to_one(fitted):
 def test_permutation_keeps_values_and_finds_the_used_feature(fitted):
     model, _, val = fitted
     out = learners.permutation_importance(
-        model, val, ["date_heure", "region"], features=MODEL_FEATURES, repeats=2, fraction=1.0,
-        group_rows=100,
+        model, val, ["date_heure", "region"], features=MODEL_FEATURES, repeats=2, fraction=1.0
     )
     rows = {r.feature: r for r in out.collect()}
     assert set(rows) == set(MODEL_FEATURES)
@@ -77,7 +74,7 @@ def test_permutation_keeps_values_and_finds_the_used_feature(fitted):
 def test_alternative_loss(frame, fitted):
     _, _, val = fitted
     model, _ = learners.fit_alt_learner(frame, val, LABELS, **SMALL)
-    assert model.stages[-1].getLossType() == "absolute"
+    assert model.loss == "absolute"
 
 
 def test_train_stores_logs_and_reloads(spark, frame, grid, tmp_path):
@@ -109,7 +106,7 @@ def test_the_best_prefix_is_kept(frame):
         train, val, LABELS, rounds=12, maxDepth=6, stepSize=1.0, subsamplingRate=1.0
     )
     assert best < 12
-    assert model.stages[-1].getNumTrees == best
+    assert len(model.trees) == best
 
 
 def test_patience_ends_at_the_best_round():
@@ -118,16 +115,6 @@ def test_patience_ends_at_the_best_round():
     assert learners.best_round([3, 2, 1], patience=50) == (3, False)
 
 
-def test_cut_ensemble_is_the_shorter_fit(spark):
-    rows = spark.range(300).selectExpr("cast(id % 7 as double) x", "cast(id % 5 as double) y")
-    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows).persist()
-    fit = GBTRegressor(labelCol="y", seed=42, maxDepth=2, subsamplingRate=0.8)
-    cut = learners.first_rounds(fit.setMaxIter(6).fit(rows), 3)
-    short = fit.setMaxIter(3).fit(rows)
-    assert cut.getNumTrees == 3 and cut.treeWeights == short.treeWeights
-    assert cut.transform(rows).collect() == short.transform(rows).collect()
-
-
 def test_registered_queries_use_the_operators_settings(spark, monkeypatch):
     from slotcast import queries
 

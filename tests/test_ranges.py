@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
-from slotcast.operators import learners, training
+from slotcast.plans import walk_forward
 from slotcast.queries import QUERIES, event_days
 
 
@@ -54,9 +56,7 @@ def test_daily_series_to_its_own_end(spark, moved):
 
 
 def test_learned_walk_forward_predicts_every_day_past_the_gate(spark, moved, monkeypatch):
-    fit = learners.fit_gbt
-    monkeypatch.setattr(learners, "fit_gbt", lambda *a: fit(*a, rounds=1, maxDepth=1))
-    monkeypatch.setattr(training, "enough_rows", lambda frame: frame.limit(144).count() >= 144)
+    monkeypatch.setattr(walk_forward, "Folds", partial(walk_forward.Folds, min_rows=144))
     days = QUERIES["walk_forward_gbt"](spark, moved).select("forecast_date").distinct().collect()
     assert sorted(str(r[0]) for r in days) == [
         "2024-01-30", "2024-01-31", *(f"2024-02-0{d}" for d in range(1, 7))
