@@ -269,6 +269,13 @@ SQL = {
                                           "TIMESTAMP '2024-01-30'")}) WHERE fit)""",
     "walk_forward_ledger": f"""SELECT forecast_date, n_train, n_val, 13 AS n_features, 0.2e0 AS val_fraction
         FROM ({folds('train_ref', EVENT_DAYS['first'], EVENT_DAYS['last'])}) WHERE fit""",
+    "run_log_split": """SELECT COUNT(*) FILTER (WHERE split = 'train') AS n_train,
+        COUNT(*) FILTER (WHERE split = 'val') AS n_val, 13 AS n_features, 0.2e0 AS val_fraction FROM split""",
+    "full_rebuild_counts": """SELECT 'consumption' AS name, COUNT(*) AS n_rows FROM eco
+        UNION ALL SELECT 'weather', COUNT(*) FROM (SELECT DISTINCT date_heure, region FROM weather)
+        UNION ALL SELECT 'features', COUNT(*) FROM features WHERE date_heure > TIMESTAMP '2023-12-31'
+        UNION ALL SELECT 'predictions', 24 * COUNT(*) FROM keys
+        UNION ALL SELECT 'journal', 6""",
     # quality
     "match_actuals": f"SELECT * FROM {RECENT}",
     "key_metrics": f"SELECT {METRIC} FROM {RECENT_KEY}",

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
 from ..grid import Grid
-from ..operators.clean import latest_per
 from ..operators.features import hourly_mean
 from ..operators.learners import score
 from ..operators.training import training_frame
@@ -15,7 +15,9 @@ from ..sources.incremental import prefer_source
 from ..store import Store
 from .feature_job import materialize_incremental
 from .forecast_job import run_forecast
-from .training_job import load_latest, train
+from .ingest_job import load, run_backfill
+from .journal import Journal
+from .training_job import load_run, train
 
 
 def full_rebuild(
@@ -27,28 +29,47 @@ def full_rebuild(
     since: str,
     as_of: str,
     forecast_day: str,
+    start: str = "1970-01-01T00:00:00",
+    keys: DataFrame | None = None,
+    run: str | None = None,
     **learner,
 ) -> str | None:
-    """Truncate, load the preferred feeds, build features, train and forecast one day.
+    """Truncate, backfill the preferred feeds, build features, train and forecast one day.
+
+    The archive is read within ``[start, as_of)``, for ``keys`` where they are given.  Finished
+    steps are noted in the store's journal under ``run``: called again with the same name, a
+    rebuild that broke off goes on with its first open step, and one that is finished does
+    nothing.  Without a name every call is a run of its own.
 
     Returns the id of the trained run, None if the training gate refused.
     """
-    measures = [c for c in weather.columns if c not in (*grid.keys, grid.ingested)]
-    store.truncate()
-    store.upsert("consumption", prefer_source(consumption_feeds, grid))
-    store.upsert("weather", latest_per(weather, grid.keys, [grid.ingested, *measures]))
-    materialize_incremental(store, grid, as_of, since=since)
-    frame = training_frame(
-        store.read("features").drop("_materialized_at"),
-        store.read("consumption"),
-        grid,
-        as_of=as_of,
-        hourly=hourly_mean(store.read("weather"), grid),
-    )
-    run_id = train(frame, grid, labels, store.root, as_of, **learner)
-    if run_id is not None:
-        run_id, model = load_latest(store.spark, store.root)
-        run_forecast(
-            store, grid, forecast_day, labels, lambda f: score(model, f), run_id, as_of
+    journal = Journal(store, run or uuid.uuid4().hex)
+
+    def features() -> None:
+        # A repeat starts from the given day, whatever an earlier try left.
+        materialize_incremental(store, grid, as_of, since=since)
+
+    def fit() -> str | None:
+        frame = training_frame(
+            store.read("features").drop("_materialized_at"),
+            store.read("consumption"),
+            grid,
+            as_of=as_of,
+            hourly=hourly_mean(store.read("weather"), grid),
         )
+        return train(frame, grid, labels, store.root, as_of, **learner)
+
+    journal.step("truncate", store.truncate)
+    archive = prefer_source(consumption_feeds, grid)
+    journal.step("consumption", lambda: run_backfill(store, grid, archive, start, as_of, keys))
+    journal.step("weather", lambda: load(store, "weather", weather, grid))
+    journal.step("features", features, ["consumption", "weather"])
+    run_id = journal.step("train", fit, ["consumption", "weather", "features"])
+    if run_id is not None:
+
+        def forecast() -> None:
+            model = load_run(store.spark, store.root, run_id)
+            run_forecast(store, grid, forecast_day, labels, lambda f: score(model, f), run_id, as_of)
+
+        journal.step("forecast", forecast, ["consumption", "weather", "features"])
     return run_id

@@ -87,9 +87,13 @@ def _train(
     return run_id
 
 
+def load_run(spark: SparkSession, root: str, run_id: str) -> boosting.Ensemble:
+    return boosting.load(spark, f"{root}/models/{run_id}")
+
+
 def load_latest(spark: SparkSession, root: str) -> tuple[str, boosting.Ensemble]:
     """Newest run of the log and its model."""
     run = latest_run(read_runs(spark, f"{root}/runs"), "run_id", "created_at").first()
     if run is None or run["run_id"] is None:
         raise LookupError(f"no run logged under {root}")
-    return run["run_id"], boosting.load(spark, f"{root}/models/{run['run_id']}")
+    return run["run_id"], load_run(spark, root, run["run_id"])

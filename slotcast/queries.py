@@ -30,6 +30,7 @@ from .plans import (
     feature_job,
     forecast_job,
     ingest_job,
+    journal,
     metrics_job,
     rebuild,
     training_job,
@@ -1159,12 +1160,39 @@ def walk_forward_ledger(spark, sf):
 
 
 @query
-def full_rebuild(spark, sf):
+def run_log_split(spark, sf):
+    """Rows of the logged run's two parts."""
+    root = shared_folder(spark)
+    training_job.train(train_rows(spark, sf), HOURLY, LABELS, root, AS_OF, rounds=1)
+    return training_job.read_runs(spark, f"{root}/runs").select("n_train", "n_val", "n_features", "val_fraction")
+
+
+def rebuilt(spark, sf, **options) -> Store:
     store = new_store(spark)
     raw = b.consumption(spark, sf)
     feeds = [raw.filter(F.col("event_id") % 2 == parity).drop("event_id") for parity in (0, 1)]
     rebuild.full_rebuild(
         store, HOURLY, feeds, b.weather(spark, sf), LABELS, "2023-12-31T00:00:00", AS_OF,
-        "2024-01-29",
+        "2024-01-29", **options,
     )
-    return store.read("predictions").drop("model_version")
+    return store
+
+
+@query
+def full_rebuild(spark, sf):
+    return rebuilt(spark, sf).read("predictions").drop("model_version")
+
+
+@query
+def full_rebuild_counts(spark, sf):
+    """Rows of the tables after a rebuild, and the steps that its journal notes."""
+    store = rebuilt(spark, sf, rounds=1)
+    steps = spark.read.schema(journal.JOURNAL).parquet(f"{store.root}/journal")
+    counts = [
+        store.read(name).select(F.lit(name).alias("name")).groupBy("name").count()
+        for name in ("consumption", "features", "predictions", "weather")
+    ]
+    out = steps.select(F.lit("journal").alias("name")).groupBy("name").count()
+    for part in counts:
+        out = out.union(part)
+    return out.select("name", F.col("count").alias("n_rows"))
