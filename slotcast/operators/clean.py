@@ -66,16 +66,14 @@ def time_range(
 def complete_slots(df: DataFrame, grid: Grid, n_keys: int) -> DataFrame:
     """Rows of the slots in which all ``n_keys`` keys reported.
 
-    The slot table has one row per slot, whatever the number of rows; adaptive
-    execution broadcasts it when its measured size allows.
+    One shuffle by slot: keys are numbered within it, and the highest number tells how many
+    there are; a slot holds one row a key, repeats aside.  NULL keys count for nothing.
     """
-    full = (
-        df.groupBy(grid.time)
-        .agg(F.count_distinct(grid.key).alias("_n"))
-        .filter(F.col("_n") == n_keys)
-        .select(grid.time)
-    )
-    return df.join(full, grid.time, "left_semi")
+    slot = Window.partitionBy(grid.time)
+    place = F.dense_rank().over(slot.orderBy(F.col(grid.key).asc_nulls_last()))
+    numbered = df.withColumn("_place", F.when(F.col(grid.key).isNotNull(), place))
+    full = numbered.withColumn("_n", F.max("_place").over(slot)).filter(F.col("_n") == n_keys)
+    return full.filter(F.col(grid.time).isNotNull()).drop("_place", "_n")
 
 
 def null_gate(df: DataFrame, required: Sequence[str]) -> DataFrame:

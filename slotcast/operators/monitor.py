@@ -241,15 +241,15 @@ def mae_ranking(metrics: DataFrame, key: str, label: str = TOTAL_LABEL) -> DataF
 def hour_heatmap(predictions: DataFrame, grid: Grid) -> DataFrame:
     """Mean prediction by key and local hour, 24 columns, largest row total first.
 
-    The hours are known, so the pivot is one aggregate with 24 conditional means.
+    One mean for each key and hour; at most 24 rows a key are then turned into columns.
     """
     hour = F.hour(local_time("forecast_horizon_dt", grid.tz))
     names = [f"h{h:02d}" for h in range(24)]
-    table = predictions.withColumn("_hour", hour).groupBy(grid.key).agg(
-        *[
-            numeric.free_mean(F.when(F.col("_hour") == h, F.col("predicted_mw")), grid.scale).alias(n)
-            for h, n in enumerate(names)
-        ]
+    means = predictions.groupBy(grid.key, hour.alias("_hour")).agg(
+        numeric.free_mean(F.col("predicted_mw"), grid.scale).alias("_mean")
+    )
+    table = means.groupBy(grid.key).agg(
+        *[F.max(F.when(F.col("_hour") == h, F.col("_mean"))).alias(n) for h, n in enumerate(names)]
     )
     row_total = reduce(lambda a, b: a + b, [F.coalesce(n, F.lit(0.0)) for n in names])
     label = F.col(grid.key)

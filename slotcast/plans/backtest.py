@@ -14,6 +14,7 @@ from ..operators.clean import latest_per
 from ..operators.features import BLOCK_DAYS, block_of
 from ..operators.horizon import ANCHOR_HOUR, anchor_of
 from ..operators.training import HORIZON_HOURS, LOOKBACK_DAYS, MIN_ROWS, VAL_FRACTION
+from ..session import stage
 from ..sources.periods import days_between
 from .forecast_job import forecast_frame, naive_forecast, stamp_predictions
 
@@ -106,10 +107,13 @@ def fold_summary(
     error = F.abs(F.col(predicted) - F.col(grid.value))
     units = error if scale is None else numeric.scaled(error, scale)
     zero = F.lit(0.0) if scale is None else F.lit(0).cast("long")
-    slots = frame.groupBy(seconds(grid.time).alias("slot")).agg(
-        F.count("*").alias("n"),
-        F.count(error).alias("n_err"),
-        F.coalesce(F.sum(units), zero).alias("err"),
+    # One row a slot, written once: both look-ups and the days of the folds read it.
+    slots = stage(
+        frame.groupBy(seconds(grid.time).alias("slot")).agg(
+            F.count("*").alias("n"),
+            F.count(error).alias("n_err"),
+            F.coalesce(F.sum(units), zero).alias("err"),
+        )
     )
     measures = ["n", "n_err", "err"]
     block = block_days * DAY
