@@ -52,6 +52,7 @@ class Encoder:
             self.merged.append((a, b, c))
         self.symbol = np.asarray(self.of_byte, np.int64)
         self.first_rank = np.asarray([[self.follow[a].get(b, -1) for b in self.of_byte] for a in self.of_byte])
+        self.decimal = {i: str(i) for i in self.content}
         self.known = Remembered()
         self.pieces = Remembered()
 
@@ -122,7 +123,8 @@ class Encoder:
         return out
 
     def learn(self, texts_units: list[list[str]]) -> None:
-        """Ids of all units of a batch that are not known yet."""
+        """Ids of all units of a batch that are not known yet: their number, their decimals, the
+        ids themselves and what they decode to."""
         new = self.known.unknown(texts_units)
         split = [special_parts(piece(u)) if SPECIAL in u else pretokens(piece(u)) for u in new]
         missing = [w for w in self.pieces.unknown(split) if w not in self.special]
@@ -130,9 +132,11 @@ class Encoder:
         pieces.update(zip(missing, self.encode_batch(missing)))
         for word, number in self.special.items():
             pieces[word] = [number]
+        decimal, content, now = self.decimal.__getitem__, self.content.__getitem__, self.known.now
         for unit, words in zip(new, split):
-            ids = [i for w in words for i in pieces[w]]
-            self.known.now[unit] = (len(ids), ",".join(map(str, ids)), tuple(ids))
+            ids = pieces[words[0]] if len(words) == 1 else [i for w in words for i in pieces[w]]
+            spelled = b"".join(map(content, ids)).decode("utf-8", "replace")
+            now[unit] = (len(ids), ",".join(map(decimal, ids)), tuple(ids), spelled)
 
     def encode(self, text: str) -> list[int]:
         parts = units(text)
@@ -161,15 +165,14 @@ def _digests(path: str):
         for batch in frames:
             ids_, texts = batch.column(0), [units(t) for t in batch.column(1).to_pylist()]
             coder.learn(texts)
-            known, rows = coder.known.now, []
-            spelled = {u: coder.decode(known[u][2]) for u in set().union(*texts)}
+            find, rows = coder.known.now.__getitem__, []
             for parts in texts:
-                found = [known[u] for u in parts]
+                counts, decimals, _, spelled = zip(*map(find, parts)) if parts else ((), (), (), ())
                 rows.append(
                     (
-                        sum([f[0] for f in found]),
-                        sha256(",".join([f[1] for f in found]).encode()).hexdigest(),
-                        sha256("".join([spelled[u] for u in parts]).encode()).hexdigest(),
+                        sum(counts),
+                        sha256(",".join(decimals).encode()).hexdigest(),
+                        sha256("".join(spelled).encode()).hexdigest(),
                     )
                 )
             yield pa.RecordBatch.from_arrays(
