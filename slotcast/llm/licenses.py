@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -99,6 +100,39 @@ def size_limits(templates=TEMPLATES, threshold: float = THRESHOLD) -> int:
     return math.ceil(fewest * threshold / (2 - threshold) - 1e-9) + 1
 
 
+def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
+    """Words of which every unit that matches a template holds one.
+
+    A unit of a pairs that reaches the threshold t shares at least t * (a + b) / 2 of a
+    template's b pairs, with a no less than b * t / (2 - t).  So it misses few enough of them
+    that one is left among those that hold an anchor.  Long words come first, as they are rarer.
+    """
+    import re
+
+    pairs = [{*zip(w, w[1:])} for _, t in templates for w in [re.findall("[a-z0-9]+", t.lower())]]
+    shared = [math.ceil(threshold / 2 * (math.ceil(len(p) * threshold / (2 - threshold) - 1e-9) + len(p)) - 1e-9) for p in pairs]
+    open_ = [len(p) - least + 1 for p, least in zip(pairs, shared)]
+    chosen: list[str] = []
+    while any(n > 0 for n in open_):
+        held = Counter(w for p, n in zip(pairs, open_) if n > 0 for pair in p for w in set(pair))
+        word = max(held, key=lambda w: (held[w] * (len(w) >= 7), held[w], w))
+        chosen.append(word)
+        for k, p in enumerate(pairs):
+            hit = {pair for pair in p if word in pair}
+            open_[k] -= len(hit)
+            pairs[k] = p - hit
+    return chosen
+
+
+def holds_one(text: Column, words: list[str]) -> Column:
+    """Whether a text holds one of the words, in either case, perhaps inside longer ones.
+
+    Lower-casing all letters only adds to what A-Z alone would match.
+    """
+    listed = F.array(*[F.lit(w) for w in words])
+    return let(F.lower(text), lambda low: F.exists(listed, lambda w: F.contains(low, w)))
+
+
 def scan_licenses(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -114,7 +148,8 @@ def scan_licenses(
 
     Compared units are every line, every paragraph (between blank lines) and the whole text,
     equal ones of a document once.  A unit meets only the templates whose size is in reach,
-    by an equality join on the number of bigrams; the template side is the given list times
+    by an equality join on the number of bigrams; texts and units without a word of which every
+    match holds one are left out before they are normalised.  The template side is the given list times
     its sizes, a few hundred rows however many documents there are.  dice: the best unit's
     coefficient; n_units: units at or above the threshold.
 
@@ -122,13 +157,16 @@ def scan_licenses(
     reached; repeated rows of one doc_id count as one document's units; a null doc_id is one
     more document; other columns are not read.
     """
-    text = text_of(text_col)
+    words = anchors(templates, threshold)
+    text = text_of("text")
     units = F.array_distinct(
         F.concat(F.split(text, "\n"), F.split(text, "\\n[ \\t\\r]*\\n"), F.array(text))
     )
     few = size_limits(templates, threshold)
     lines = (
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.explode(units).alias("unit"))
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+        .where(holds_one(F.col("text"), words))
+        .select("doc_id", F.explode(F.filter(units, lambda unit: holds_one(unit, words))).alias("unit"))
         .withColumn("words", words_of(F.col("unit")))
         .where(F.size("words") >= few)
         .withColumn("grams", bigrams_of(F.col("words")))
