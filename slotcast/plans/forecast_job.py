@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar
@@ -67,23 +67,47 @@ def history_as_known(
 
     A record counts for the days whose look-back holds its slot (at most
     ``lookback_hours / 24 + 1``) if it had arrived by then, so later corrections and late
-    publishers do not leak into a backtest.
+    publishers do not leak into a backtest.  Each version of a slot is valid from its arrival
+    until the next one's, so only the days of its own interval get a copy.  Of the versions that
+    arrive between two anchors only the last is seen; the others go before the shuffle.
     """
+    order = [grid.ingested, *(tiebreak or [grid.value])]
     first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
-    low = F.greatest(F.date_sub(F.to_date(grid.time), 1), first)
-    high = F.least(F.date_add(F.to_date(grid.time), lookback_hours // 24 + 2), last)
+    arrived, at = F.col(grid.ingested), F.col(grid.time)
+    ends = anchor_of(last, grid.tz, anchor_hour)
+    near = raw.filter(
+        F.col(grid.value).isNotNull()
+        & (arrived <= ends)
+        & (at < ends)
+        & (at >= shift(anchor_of(first, grid.tz, anchor_hour), -lookback_hours * HOUR))
+    )
+    # The day whose anchor is the first to see a record.
+    day = F.to_date(arrived)
+    seen_by = (
+        F.when(arrived > anchor_of(day, grid.tz, anchor_hour), F.date_add(day, 1))
+        .when(arrived <= anchor_of(F.date_sub(day, 1), grid.tz, anchor_hour), F.date_sub(day, 1))
+        .otherwise(day)
+    )
+    seen = latest_per(near.withColumn("_seen_by", seen_by), [*grid.keys, "_seen_by"], order)
+    versions = Window.partitionBy(*grid.keys).orderBy("_seen_by")
+    known = seen.withColumn("_until", F.lead(grid.ingested).over(versions)).drop("_seen_by")
+    # A day's anchor lies within a day of its midnight, whatever the zone.
+    low = F.greatest(F.date_sub(F.to_date(grid.time), 1), first, F.date_sub(F.to_date(grid.ingested), 1))
+    high = F.least(
+        F.date_add(F.to_date(grid.time), lookback_hours // 24 + 2), last, F.date_add(F.to_date("_until"), 1)
+    )
     anchor = anchor_of(F.col("forecast_date"), grid.tz, anchor_hour)
-    seen = (
-        raw.filter((low <= high) & F.col(grid.value).isNotNull())
+    return (
+        known.filter(low <= high)
         .withColumn("forecast_date", F.explode(days_between(low, high)))
         .filter(
             (F.col(grid.time) >= shift(anchor, -lookback_hours * HOUR))
             & (F.col(grid.time) < anchor)
             & (F.col(grid.ingested) <= anchor)
+            & (F.col("_until").isNull() | (F.col("_until") > anchor))
         )
+        .drop("_until")
     )
-    order = [grid.ingested, *(tiebreak or [grid.value])]
-    return latest_per(seen, ["forecast_date", *grid.keys], order)
 
 
 def forecast_frame(

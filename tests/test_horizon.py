@@ -140,3 +140,29 @@ def test_a_correction_after_the_anchor_is_not_known(series):
         ("2024-03-26", at("2024-03-24T00:00:00")): 9.0,
         ("2024-03-26", at("2024-03-24T23:00:00")): 5.0,
     }
+
+
+def test_each_day_sees_one_version_as_it_stood_at_its_anchor(spark, series):
+    """Corrections, ties and late records: against the newest arrived record, day by day."""
+    from slotcast.grid import Grid
+    from slotcast.plans.forecast_job import history_as_known
+
+    grid = Grid(step=3600)
+    rows = []
+    for h in range(0, 96, 3):
+        slot = f"2024-01-{1 + h // 24:02d}T{h % 24:02d}:00:00"
+        for k, lag in enumerate((1, 30, 30, 75)[: 1 + h % 4]):
+            at = h + lag + k % 2
+            rows.append((slot, "A", float(10 * h + k), f"2024-01-{1 + at // 24:02d}T{at % 24:02d}:30:00"))
+    raw = series(rows)
+    got = history_as_known(raw, "2024-01-02", "2024-01-08", grid, lookback_hours=72).collect()
+    found = {(str(r.forecast_date), str(r.date_heure)): r.consommation for r in got}
+    assert len(found) == len(got)
+    want = {}
+    for d in range(2, 9):
+        anchor = f"2024-01-{d:02d} 05:00:00"
+        for r in sorted(raw.collect(), key=lambda r: (r._ingested_at, r.consommation)):
+            low = f"2024-01-{d - 3:02d} 05:00:00" if d > 3 else ""
+            if str(r._ingested_at) <= anchor and low <= str(r.date_heure) < anchor:
+                want[f"2024-01-{d:02d}", str(r.date_heure)] = r.consommation
+    assert found == want and len(want) > 50
