@@ -40,7 +40,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Expectation-maximisation and packing have no SQL form; tests hold each operator against brute force.
+#: Expectation-maximisation and packing have no SQL form; a test holds run() against its stages done
+#: plainly, given the verdicts of the quality rules.
 ORACLE_SQL = None
 
 
