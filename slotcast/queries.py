@@ -1130,6 +1130,36 @@ def permutation_importance(spark, sf):
     return learners.permutation_importance(model, val, ["date_heure", "region"], fraction=1.0)
 
 
+@query
+def permutation_importance_alt(spark, sf):
+    model, _, val = fitted(spark, sf, learners.fit_alt_learner)
+    return learners.permutation_importance(model, val, ["date_heure", "region"], fraction=1.0)
+
+
+def scored_by_both(spark, sf) -> DataFrame:
+    """Validation rows with both lags, and with the predictions of both learners."""
+    frame = train_rows(spark, sf, required=["consommation_lag_24h", "consommation_lag_168h"])
+    split = training.time_split(stage(frame), "date_heure")
+    train, val = (split.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
+    out = val
+    for name, fit in {"gbt": learners.fit_gbt, "alt": learners.fit_alt_learner}.items():
+        model, _ = fit(train, val, LABELS)
+        out = learners.score(model, out).withColumnRenamed("predicted_mw", name)
+    return out
+
+
+@query
+def compare_learners(spark, sf):
+    """Both learners and both lags on the same validation rows."""
+    models = {"gbt": "gbt", "alt": "alt", "lag_24h": "consommation_lag_24h", "lag_168h": "consommation_lag_168h"}
+    return evaluation.compare_models(stage(scored_by_both(spark, sf)), "consommation", models)
+
+
+@query
+def learned_error_sample(spark, sf):
+    return evaluation.prediction_error_sample(scored_by_both(spark, sf), "consommation", "gbt", ["date_heure", "region"])
+
+
 @query
 def run_log(spark, sf):
     root = shared_folder(spark)

@@ -124,3 +124,18 @@ def test_registered_queries_use_the_operators_settings(spark, monkeypatch):
     for name in ("fit_gbt", "fit_alt_learner"):
         queries.fitted(spark, "", lambda *a, **options: seen.append(options) or (None, 1))
     assert seen == [{}, {}]
+
+
+def test_learners_and_lags_are_compared_on_the_same_rows(spark):
+    from slotcast.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    rows = {r.model: r for r in QUERIES["compare_learners"](spark, sf).collect()}
+    assert set(rows) == {"gbt", "alt", "lag_24h", "lag_168h"}
+    assert len({r.n for r in rows.values()}) == 1
+    assert sum(r.best_mae for r in rows.values()) == 1
+    assert min(rows["gbt"].mae, rows["alt"].mae) < rows["lag_24h"].mae
+    sample = QUERIES["learned_error_sample"](spark, sf).collect()
+    assert len(sample) == rows["gbt"].n
+    assert sum(abs(r.residual) for r in sample) / len(sample) == pytest.approx(rows["gbt"].mae, abs=0.006)
+    assert all(r.residual == pytest.approx(r.actual - r.predicted) for r in sample)
