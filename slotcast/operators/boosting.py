@@ -28,7 +28,8 @@ from ..session import shared_folder
 
 #: Bins of a feature, the one of missing values included.
 BINS = 64
-#: Rows of a model that is fitted in one task: 13 features take 52 bytes a row and 40 more in sums.
+#: Rows of a model that is fitted in one task.  With 13 inputs a row takes up to 400 bytes (inputs as
+#: doubles, bins, and codes and slopes of a histogram), so 0.8 GB at most.
 TASK_ROWS = 2_000_000
 #: Rounds between two writes of the predictions so far.
 WRITE_EVERY = 10
