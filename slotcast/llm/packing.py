@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -18,14 +19,21 @@ from pyspark.sql import functions as F
 from slotcast.session import stage
 
 from .common import count_partitions, plain_docs, settings
-from .pretokens import Remembered, piece, units
+from .pretokens import BARE, SPECIAL, Remembered, piece, units
 
 VOCABULARY = "byte_bpe_50k.json"
 SIZE = 2048
 END = 1
 LINE_END = "\n"
+#: Between units that are encoded in one call; each but the bare ones begins with a blank.
+JOIN = LINE_END + " "
 #: Units encoded in one call.
 TOGETHER = 256
+#: Units whose ids one task remembers, twice over (about 200 bytes each).
+UNITS = 400_000
+#: Units that hold white space other than one or two line ends between other characters, or the
+#: special token's string.
+_ALONE = re.compile(rf"[^\S\n]|\n{{3}}|^\0?\n|^\0?$|\n\Z|{re.escape(SPECIAL)}").search
 
 
 class Ids:
@@ -38,31 +46,35 @@ class Ids:
         self.coder = Tokenizer.from_file(path)
         self.coder.no_padding()
         self.coder.no_truncation()
-        self.known = Remembered()
+        self.known = Remembered(UNITS)
         self.line_end = self.coder.token_to_id("Ċ")
 
     def learn(self, texts_units: list[list[str]]) -> None:
         """Ids of the units that are not known yet.
 
-        Units without inner white space are encoded many at once with line ends between: a
-        line end before a blank or a letter is always a token of its own.
+        Units are encoded many at once with line ends between: a line end before a blank or a
+        character that is no white space is always a token of its own, and so is each of one or
+        two line ends inside a unit.  Units with other white space are encoded alone.
         """
         alone: list[str] = []
         together: list[str] = []
         new = self.known.unknown(texts_units)
         now = self.known.now
         for key in new:
-            words = key.split()
-            (together if len(words) == 1 and words[0] == key else alone).append(key)
+            (alone if _ALONE(key) else together).append(key)
         for key, coded in zip(alone, self.coder.encode_batch_fast([piece(k) for k in alone], add_special_tokens=False)):
             now[key] = np.asarray(coded.ids, "<u4").tobytes()
         for at in range(0, len(together), TOGETHER):
             keys = together[at : at + TOGETHER]
-            coded = self.coder.encode_batch_fast([LINE_END.join(map(piece, keys))], add_special_tokens=False)
-            ids = np.asarray(coded[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.line_end).tolist()
+            text = (JOIN + JOIN.join(keys)).replace(JOIN + BARE, LINE_END)[1:]
+            ids = np.asarray(self.coder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.line_end)
+            inside = [k.count(LINE_END) for k in keys]
+            ends = np.append(cuts, len(ids))[np.cumsum(inside) + np.arange(len(keys))].tolist()
+            if len(cuts) != len(keys) - 1 + sum(inside):
+                raise ValueError("a line end between units is not a token of its own")
             raw, start = ids.tobytes(), 0
-            for key, end in zip(keys, [*cuts, len(ids)], strict=True):
+            for key, end in zip(keys, ends):
                 now[key] = raw[4 * start : 4 * end]
                 start = end + 1
 
