@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -73,6 +74,23 @@ def test_hashes_that_collide_are_told_apart(docs):
     assert {r.doc_id for r in exact.exact_groups(other, hashed=few).where("group_size = 1 and kept").collect()} >= {9}
 
 
+def test_exact_groups_give_every_row(spark):
+    """Repeated rows each count; rows of one id with different texts are told apart.  Counted plainly."""
+    rows = [(1, "a b"), (1, "a b"), (2, "a  b"), (2, "a b"), (2, "c"), (3, None), (3, ""), (3, None), (4, "c " * 3000), (4, "c " * 3000)]
+    norm = lambda t: re.sub("[ \t-\r]+", " ", t or "")
+    want = []
+    for i, t in rows:
+        same = [j for j, u in rows if norm(u) == norm(t)]
+        want.append((i, min(same), len(same), i == min(same), hashlib.sha256(norm(t).encode()).hexdigest()))
+    few = lambda chunk: F.xxhash64(F.length(chunk))
+    given = spark.createDataFrame(rows, SCHEMA)
+    for hashed in (exact.chunk_hash, few):
+        assert sorted(map(tuple, exact.exact_groups(given, hashed=hashed).collect())) == sorted(want)
+    assert sorted(r.doc_id for r in exact.drop_exact(given).collect()) == [1, 2, 3, 4]
+    largest = spark.createDataFrame([(2**63 - 1, "a"), (None, "a")], SCHEMA)
+    assert exact.drop_exact(largest).count() == 1
+
+
 def test_drop_exact_keeps_columns_and_one_of_repeated_rows(docs):
     kept = exact.drop_exact(docs.union(docs))
     assert kept.columns == docs.columns
