@@ -5,13 +5,18 @@ the class of its ending, and has its add-one share within the class.  A token's
 is the model's for its outcome given the two tokens before, times that share: it sums to
 one over all words, seen or not.
 
-Training.  Every task trains one replica on all training texts of its partition in numpy,
-from a common start, with noise words from the unigram distribution; replicas are averaged
-by the tokens they saw.  Scoring normalises over all outcomes by batched matrix products.
+Training.  Texts become sequences of outcomes once.  A hash of the id and the sequence deals
+them to shards of about SHARD tokens, and the shards to rounds, whose number is the square
+root of the shards'.  In a round every shard trains a replica in numpy from the average of the
+round before, with noise words from the unigram distribution; replicas and the sums that scale
+their steps are averaged by the tokens they saw.  So what is learned depends on the rows, not
+on their partitions, and with more text both more replicas and more rounds in a row train.
+Scoring normalises over all outcomes by batched matrix products.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.session import stage
+from slotcast.session import shared_folder, stage
 
-from .common import columns, most_frequent, plain_docs, settings
+from .common import columns, most_frequent, parts, plain_docs, settings
 
 #: The end of a text; no word holds white space.
 END = b"\n"
@@ -33,6 +38,8 @@ SINGLES, CLASSES = 640, 256
 HELD = 131_072
 WIDTH = 24
 BATCH, NOISE, RATE = 8192, 96, 0.08
+#: Tokens that one replica sees in a round, about.
+SHARD = 2_000_000
 HELD_OUT, FOLDS = 2, 7
 
 
@@ -184,16 +191,37 @@ def contexts(sequence: np.ndarray, lengths: list[int], beginning: int) -> tuple[
     return near, far
 
 
+@dataclass
+class State:
+    """A model and the sums of squared gradients that scale its steps."""
+
+    model: Model
+    squares: list[np.ndarray]
+
+    @classmethod
+    def start(cls, frequency: np.ndarray) -> State:
+        model = Model.start(frequency)
+        return cls(model, [np.full_like(p, 1e-6) for p in model.parts()])
+
+    def blocks(self) -> list[np.ndarray]:
+        return self.model.parts() + self.squares
+
+    @classmethod
+    def of(cls, blocks: list[np.ndarray]) -> State:
+        near, far, target, bias, *squares = [b.astype(np.float32) for b in blocks]
+        return cls(Model(near, far, target, bias[:, 0]), squares)
+
+
 class Training:
     """Adaptive steps of noise-contrastive estimation on one replica."""
 
-    def __init__(self, model: Model, frequency: np.ndarray):
-        self.model = model
+    def __init__(self, state: State, frequency: np.ndarray, shard: int = 0):
+        own = State.of([b.copy() for b in state.blocks()])
+        self.model, self.squares = own.model, own.squares
         noise = (frequency + 0.5) / (frequency + 0.5).sum()
         self.noise_log = np.log(noise * NOISE).astype(np.float32)
         self.edges = np.cumsum(noise)
-        self.random = np.random.default_rng(11)
-        self.squares = [np.full_like(p, 1e-6) for p in model.parts()]
+        self.random = np.random.default_rng([11, shard])
         self.seen = 0
 
     def step(self, near: np.ndarray, far: np.ndarray, outcome: np.ndarray) -> None:
@@ -218,89 +246,116 @@ class Training:
         self.seen += n
 
 
-def _trained(known: Outcomes):
-    """Task: trains on its texts, gives (block, tokens, values), one block for each part."""
+REPLICA_COLUMNS = ["shard", "block", "tokens", "values"]
+
+
+def _blocks(shard: int, tokens: int, values: list[np.ndarray]) -> pa.RecordBatch:
+    n = len(values)
+    raw = [v.astype(np.float64).tobytes() for v in values]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([shard] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([tokens] * n, pa.int64()), pa.array(raw, pa.binary())],
+        REPLICA_COLUMNS,
+    )
+
+
+def _trained(state: State, frequency: np.ndarray):
+    """Task: trains a replica on each of its shards, whose rows follow one another, and gives
+    (shard, block, tokens, values), a row for each part and its sums."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model.start(known.frequency)
-        training = Training(model, known.frequency)
+        now, training, size = None, None, 0
         held: list[np.ndarray] = []
-        lengths: list[int] = []
 
         def use() -> None:
-            if not held:
-                return
-            sequence = np.concatenate(held)
-            near, far = contexts(sequence, lengths, len(known.frequency))
-            order = training.random.permutation(len(sequence))
-            for at in range(0, len(order), BATCH):
-                chosen = order[at : at + BATCH]
-                training.step(near[chosen], far[chosen], sequence[chosen])
+            nonlocal size
+            if held:
+                sequence = np.concatenate(held)
+                near, far = contexts(sequence, [len(h) for h in held], len(frequency))
+                order = training.random.permutation(len(sequence))
+                for at in range(0, len(order), BATCH):
+                    chosen = order[at : at + BATCH]
+                    training.step(near[chosen], far[chosen], sequence[chosen])
             held.clear()
-            lengths.clear()
+            size = 0
 
-        size = 0
         for batch in frames:
-            for text in columns(batch, "text")[0]:
-                words = text.lower().split()
-                words.append(END)
-                held.append(known.outcomes(words, known.ids(words)))
-                lengths.append(len(words))
-                size += len(words)
+            for shard, raw in zip(*columns(batch, "shard", "sequence")):
+                if shard != now:
+                    if training:
+                        use()
+                        yield _blocks(now, training.seen, State(training.model, training.squares).blocks())
+                    now, training = shard, Training(state, frequency, shard)
+                held.append(np.frombuffer(raw, "<u2").astype(np.int64))
+                size += len(held[-1])
                 if size > 500_000:
                     use()
-                    size = 0
-        use()
-        if training.seen:
-            parts = [p.astype(np.float32).tobytes() for p in model.parts()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(parts)), pa.int32()), pa.array([training.seen] * len(parts), pa.int64()), pa.array(parts, pa.binary())],
-                ["block", "tokens", "values"],
-            )
+        if training:
+            use()
+            yield _blocks(now, training.seen, State(training.model, training.squares).blocks())
 
     return run
 
 
 def _weighed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum of the replicas that a task has, weighed by their tokens, as one replica."""
+    """Average of the replicas that a task has, weighed by their tokens, as one replica."""
     sums: dict[int, np.ndarray] = {}
     tokens: Counter = Counter()
     for batch in frames:
         for block, n, values in zip(*columns(batch, "block", "tokens", "values")):
-            value = np.frombuffer(values, np.float32).astype(np.float64) * n
+            value = np.frombuffer(values, np.float64) * n
             sums[block] = sums[block] + value if block in sums else value
             tokens[block] += n
-    for block, value in sums.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int32()), pa.array([tokens[block]], pa.int64()), pa.array([(value / tokens[block]).astype(np.float32).tobytes()], pa.binary())],
-            ["block", "tokens", "values"],
-        )
+    if sums:
+        yield _blocks(0, tokens[0], [sums[b] / tokens[b] for b in sorted(sums)])
 
 
-REPLICA = "block int, tokens long, values binary"
+REPLICA = "shard long, block int, tokens long, values binary"
 
 
-def train(texts: DataFrame, known: Outcomes) -> Model:
-    """The averaged model of all texts.
+def _averaged(state: State, replicas: DataFrame) -> State:
+    """In two steps: sixteen tasks, whatever the number of replicas, then their sixteen results,
+    which are all that reaches the driver."""
+    few = replicas.repartition(16, F.col("shard") % 16).sortWithinPartitions("shard", "block")
+    shapes = [b.shape for b in state.blocks()]
+    sums, tokens = [np.zeros(s) for s in shapes], 0
+    for r in few.mapInArrow(_weighed, REPLICA).collect():
+        sums[r["block"]] += np.frombuffer(r["values"], np.float64).reshape(shapes[r["block"]]) * r["tokens"]
+        tokens += r["tokens"] if r["block"] == 0 else 0
+    return State.of([s / tokens for s in sums]) if tokens else state
 
-    Replicas are averaged in two steps: sixteen tasks, whatever their number, then the
-    sixteen results, which are all that reaches the driver.
+
+def train(sequences: DataFrame, known: Outcomes) -> Model:
+    """The model after all rounds over (doc_id, sequence).
+
+    Every text is in one shard of one round.  Shards are dealt and put in order by hashes of the
+    rows, so other files, partitions or executors give the same model up to rounding.
     """
-    replicas = stage(texts.mapInArrow(_trained(known), REPLICA))
-    few = replicas.repartition(16, F.xxhash64("block", "values")).mapInArrow(_weighed, REPLICA)
-    start = Model.start(known.frequency)
-    sums = [np.zeros(p.shape) for p in start.parts()]
-    tokens = [0] * len(sums)
-    for r in few.collect():
-        sums[r["block"]] += np.frombuffer(r["values"], np.float32).reshape(sums[r["block"]].shape) * float(r["tokens"])
-        tokens[r["block"]] += r["tokens"]
-    if not tokens[0]:
-        return start
-    near, far, target, bias = [(s / t).astype(np.float32) for s, t in zip(sums, tokens)]
-    return Model(near, far, target, bias[:, 0])
-
-
-SCORED = pa.schema(
+    spark = sequences.sparkSession
+    shards = max(1, round(known.tokens / SHARD))
+    rounds = math.isqrt(shards - 1) + 1
+    order = F.xxhash64("doc_id", "sequence")
+    path = shared_folder(spark)
+    (
+        sequences.select(F.pmod(order, F.lit(shards)).alias("shard"), order.alias("order"), "sequence")
+        .repartition("shard")
+        .withColumn("round", (F.col("shard") % rounds).cast("int"))
+        .write.partitionBy("round")
+        .parquet(path)
+    )
+    dealt = spark.read.schema("shard long, order long, sequence binary, round int").parquet(path)
+    state = State.start(known.frequency)
+    for number in range(rounds):
+        own = (
+            dealt.where(F.col("round") == number)
+            .select("shard", "order", "sequence")
+            .repartition(-(-shards // rounds), "shard")
+            .sortWithinPartitions("shard", "order", "sequence")
+        )
+        state = _averaged(state, stage(own.mapInArrow(_trained(state, known.frequency), REPLICA)))
+    return state.model
+
+
+ENCODED = pa.schema(
     [
         ("row", pa.int64()),
         ("doc_id", pa.int64()),
@@ -308,22 +363,23 @@ SCORED = pa.schema(
         ("n_tokens", pa.int64()),
         ("n_known", pa.int64()),
         ("base", pa.float64()),
-        ("model", pa.float64()),
+        ("share", pa.float64()),
+        ("sequence", pa.binary()),
         ("tail", pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))),
     ]
 )
-SCORED_DDL = (
-    "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, "
-    "tail array<struct<word: binary, times: int>>"
+ENCODED_DDL = (
+    "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, share double, "
+    "sequence binary, tail array<struct<word: binary, times: int>>"
 )
 
 
-def _scored(known: Outcomes, model: Model):
-    """Task: what held words and the model say; words that are not held are listed."""
-    beginning = len(known.frequency)
+def _encoded(known: Outcomes):
+    """Task: a text's outcomes, as 16-bit numbers, and what held words say; words that are not
+    held are listed."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in frames:
+        for batch in (p for frame in frames for p in parts(frame, "text")):
             rows, doc_ids, out, texts = columns(batch, "row", "doc_id", "held_out", "text")
             ids, sequences, lengths, tails = [], [], [], []
             for text in texts:
@@ -336,14 +392,34 @@ def _scored(known: Outcomes, model: Model):
                 tail = Counter([words[at] for at in np.flatnonzero(own < 0)])
                 tails.append([{"word": w, "times": n} for w, n in tail.items()])
             sequence, flat = np.concatenate(sequences), np.concatenate(ids)
-            near, far = contexts(sequence, lengths, beginning)
-            score = model.log_probability(near, far, sequence) / np.log(10) + known.log_share[sequence]
             log_count = known.log_count[flat]
-            score += np.where(sequence >= SINGLES, log_count, 0.0)
+            share = known.log_share[sequence] + np.where(sequence >= SINGLES, log_count, 0.0)
             at = np.cumsum([0, *lengths])[:-1]
-            sums = [np.add.reduceat(v, at) for v in ((flat >= 0).astype(np.int64), log_count, score)]
-            values = [rows, doc_ids, out, lengths, *sums, tails]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(values, SCORED)], schema=SCORED)
+            sums = [np.add.reduceat(v, at) for v in ((flat >= 0).astype(np.int64), log_count, share)]
+            raw = [s.astype("<u2").tobytes() for s in sequences]
+            values = [rows, doc_ids, out, lengths, *sums, raw, tails]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(values, ENCODED)], schema=ENCODED)
+
+    return run
+
+
+PLAIN = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "share"]
+SCORED_DDL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, share double, model double"
+
+
+def _scored(model: Model):
+    """Task: the model's log10 probability of each sequence of outcomes."""
+    beginning = len(model.bias)
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (p for frame in frames for p in parts(frame, "sequence", 4_000_000)):
+            sequences = [np.frombuffer(s, "<u2") for s in columns(batch, "sequence")[0]]
+            lengths = [len(s) for s in sequences]
+            sequence = np.concatenate(sequences).astype(np.int64)
+            near, far = contexts(sequence, lengths, beginning)
+            score = model.log_probability(near, far, sequence) / np.log(10)
+            sums = np.add.reduceat(score, np.cumsum([0, *lengths])[:-1])
+            yield batch.select(PLAIN).append_column("model", pa.array(sums, pa.float64()))
 
     return run
 
@@ -370,14 +446,15 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.sum("n").alias("n"))
     )
     known = outcomes(counts)
-    model = train(training, known)
-    scored = stage(
+    encoded = stage(
         texts.withColumn("row", F.monotonically_increasing_id())
         .select("row", "doc_id", "held_out", "text")
-        .mapInArrow(_scored(known, model), SCORED_DDL)
+        .mapInArrow(_encoded(known), ENCODED_DDL)
     )
+    model = train(encoded.where(~F.col("held_out")).select("doc_id", "sequence"), known)
+    scored = encoded.select(*PLAIN, "sequence").mapInArrow(_scored(model), SCORED_DDL)
     tail = (
-        scored.select("row", F.explode("tail").alias("t"))
+        encoded.select("row", F.explode("tail").alias("t"))
         .select("row", "t.word", "t.times")
         .join(counts.select("word", "n"), "word")
         .groupBy("row")
@@ -392,5 +469,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(known.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + added - F.col("n_tokens") * per_token).alias("base_score"),
-        (F.col("model") + added).alias("score"),
+        (F.col("model") + F.col("share") + added).alias("score"),
     )

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import math
 import re
 import zlib
 
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -256,3 +260,36 @@ def test_language_model_sums_to_one_and_learns(spark):
 def test_language_model_edge_cases(docs):
     rows = {r.doc_id: r for r in language_model.score_documents(docs).collect()}
     assert len(rows) == len(TEXTS) and rows[3].n_tokens == rows[4].n_tokens == rows[5].n_tokens == 1
+
+
+def test_language_model_counts_equal_plain_ones_with_a_joined_tail(spark, monkeypatch):
+    """Base columns by counting, with so few words held that most are joined."""
+    monkeypatch.setattr(language_model, "HELD", 20)
+    made = random.Random(5)
+    pool = [f"W{i}" for i in range(300)]
+    rows = [(i, " ".join(made.choice(pool) for _ in range(made.randrange(60)))) for i in range(80)]
+    rows += [(None, "w1 null id"), (200, None), (201, ""), (202, "w2 \t\n\x0bw3"), (202, "w2 \t\n\x0bw3"), (203, "only here " * 500)]
+    words = lambda t: [*re.findall("[^ \t-\r]+", (t or "").lower()), None]
+    out = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    counts = Counter(w for i, t in rows for w in words(t) if not out(i))
+    n = sum(counts.values())
+    want = Counter()
+    for i, t in rows:
+        base = sum(math.log10((counts[w] + 1) / (n + len(counts) + 1)) for w in words(t))
+        want[(i, out(i), len(words(t)), sum(counts[w] > 0 for w in words(t)), n, round(base, 6))] += 1
+    got = language_model.score_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert Counter((*r[:5], round(r.base_score, 6)) for r in got) == want
+    assert all(r.score < 0 for r in got)
+
+
+def test_language_model_does_not_depend_on_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "SHARD", 700)
+    made = random.Random(6)
+    rows = [(i, " ".join(made.choice(["red green blue", "uno dos tres", "x"]) for _ in range(30))) for i in range(60)]
+    rows += [(500, None), (500, "")]
+    given = spark.createDataFrame(rows, SCHEMA)
+    few, many = (
+        sorted((r.doc_id, r.n_tokens, r.score) for r in language_model.score_documents(given.repartition(k)).collect()) for k in (1, 9)
+    )
+    assert [r[:2] for r in few] == [r[:2] for r in many]
+    assert [r[2] for r in few] == pytest.approx([r[2] for r in many], rel=1e-5)
