@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-import random
 import math
+import random
 import re
 import zlib
-
 from collections import Counter
 
 import numpy as np
