@@ -8,6 +8,7 @@ that run Python work on UTF-8 bytes.  A null text counts as an empty one everywh
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,6 +27,24 @@ def settings(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: str = "32m") -> Iterator[None]:
+    """Arrow batches of so many rows and bytes at most for the jobs that run inside the block.
+
+    The caller's settings are back afterwards, so nothing that runs Python may be left to be
+    computed later.
+    """
+    limits = {"maxRecordsPerBatch": str(rows), "maxBytesPerBatch": size}
+    before = {name: spark.conf.get(f"spark.sql.execution.arrow.{name}") for name in limits}
+    try:
+        for name, value in limits.items():
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from slotcast.session import stage, staged
 
-from .common import columns, components, most_frequent, plain_docs, settings
+from .common import bounded_batches, columns, components, most_frequent, plain_docs
 
 WIDTH = 5
 #: Similarity as a fraction: linked when DEN * |a & b| >= NUM * |a | b|.
@@ -36,6 +36,8 @@ HOT_MIN, HOT_MAX = 64, 150_000
 #: Members of a frequent shingle's list that one group holds on average.
 HOT_GROUP = 500
 BITS = 1024
+#: Ids of texts to read again that are told to every task (a map of about 32 MB); more are joined.
+TOLD_IDS = 1_000_000
 
 
 def needed(m: int, n: int) -> int:
@@ -119,9 +121,20 @@ SETS = pa.schema(
         ("tokens", pa.list_(pa.int64())),
         ("groups", pa.list_(pa.int32())),
         ("sketch", pa.list_(pa.int64())),
+        ("parities", pa.binary()),
     ]
 )
-SETS_DDL = "doc_id long, n_shingles long, set_key binary, tokens array<long>, groups array<int>, sketch array<long>"
+SETS_DDL = "doc_id long, n_shingles long, set_key binary, tokens array<long>, groups array<int>, sketch array<long>, parities binary"
+
+
+def _parities(s: np.ndarray) -> np.ndarray:
+    """For each of four to eight classes a shingle whether their number is odd.
+
+    The number of classes is a power of two, so a longer row folds to a shorter one.
+    """
+    bits = max(BITS, 1 << (4 * len(s) - 1).bit_length()) if len(s) else BITS
+    at = ((s >> np.uint64(7)) % np.uint64(bits)).astype(np.int64)
+    return np.bincount(at, minlength=bits).astype(np.uint8) & 1
 
 
 def _described(hot_hash: np.ndarray, hot_count: np.ndarray):
@@ -129,8 +142,8 @@ def _described(hot_hash: np.ndarray, hot_count: np.ndarray):
 
     tokens: the rarest shingles as far as the prefix goes, of small sets all; groups: into
     how many parts a frequent shingle's list is split, a power of two, so that sets that share
-    many of them meet the same few first members, 0 for others; sketch: for each of
-    1,024 classes of shingles whether their number is odd.
+    many of them meet the same few first members, 0 for others; parities: the set's size and
+    finest sketch; sketch: the same folded to 1,024 classes.
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,10 +160,12 @@ def _described(hot_hash: np.ndarray, hot_count: np.ndarray):
                 order = np.argsort(count, kind="stable")
                 if n > LIGHT_MAX:
                     order = order[: prefix_size(n)]
-                odd = np.bincount((s >> np.uint64(7)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1
+                odd = _parities(s)
+                sketch = np.packbits(np.bitwise_xor.reduce(odd.reshape(-1, BITS), axis=0)).view(np.int64)
                 parts = -(-count[order] // HOT_GROUP)
                 groups = np.where(parts > 0, 2 ** np.ceil(np.log2(np.maximum(parts, 1))), 0)
-                values = (doc_id, n, key, s[order].view(np.int64), groups.astype(np.int32), np.packbits(odd).view(np.int64))
+                fine = n.to_bytes(8, "little") + np.packbits(odd).tobytes()
+                values = (doc_id, n, key, s[order].view(np.int64), groups.astype(np.int32), sketch, fine)
                 for column, value in zip(out, values):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(out, SETS)], schema=SETS)
@@ -225,21 +240,6 @@ def _may_link(n: str, m: str, left: str, right: str, bits: int = BITS) -> str:
     return f"{DEN} * least({n}, {m}) >= {NUM} * greatest({n}, {m}) and {_differ(left, right, bits)} <= {allowed}"
 
 
-def _parities(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fine sketches: a set's size, and parities of four to eight classes a shingle.
-
-    The number of classes is a power of two, so a longer sketch folds to a shorter one.
-    """
-    for batch in frames:
-        out = []
-        for text in columns(batch, "text")[0]:
-            s = shingle_set(text)
-            bits = max(BITS, 1 << (4 * len(s) - 1).bit_length())
-            odd = np.bincount(((s >> np.uint64(7)) % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
-            out.append(len(s).to_bytes(8, "little") + np.packbits(odd).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "parities"])
-
-
 def _screen(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose fine sketches allow a link; each differing class is a differing shingle."""
     for batch in frames:
@@ -275,7 +275,11 @@ def _verify(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Texts that pairs name.  Up to TOLD_IDS ids are told to every task; of more, both sides
+    of the join are shuffled."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    if wanted.count() <= TOLD_IDS:
+        wanted = F.broadcast(wanted)
     return docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
 
 
@@ -287,19 +291,19 @@ def _side_by_side(pairs: DataFrame, held: DataFrame) -> DataFrame:
     )
 
 
-def verified(near: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(near: DataFrame, docs: DataFrame, fine: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar.
 
-    Fine sketches, a sixteenth to an eighth of a set's bytes, refuse nearly all other pairs
-    first, so whole sets move for links alone.
+    Fine sketches (id, parities), a sixteenth to an eighth of a set's bytes and described with
+    the set, refuse nearly all other pairs first, so texts are read again and whole sets move
+    for links alone.
     """
-    with staged(_texts_of(near, docs).mapInArrow(_parities, "id long, parities binary")) as fine:
-        likely = stage(_side_by_side(near, fine).mapInArrow(_screen, "a long, b long").distinct())
+    likely = stage(_side_by_side(near, fine).mapInArrow(_screen, "a long, b long").distinct())
     with staged(_texts_of(likely, docs).mapInArrow(_packed, "id long, shingles binary")) as full:
         return stage(_side_by_side(likely, full).mapInArrow(_verify, "a long, b long").distinct())
 
 
-def heavy_links(sets: DataFrame, limit: int, docs: DataFrame) -> DataFrame:
+def heavy_links(sets: DataFrame, limit: int, docs: DataFrame, fine: DataFrame) -> DataFrame:
     """(a, b): links with a set of more than ``limit`` shingles, enough for components.
 
     Lists of one member go at once.  In each list every member is tried with the list's
@@ -341,7 +345,7 @@ def heavy_links(sets: DataFrame, limit: int, docs: DataFrame) -> DataFrame:
         .where(_may_link("n", "m", "left", "right"))
         .select("a", "b")
     )
-    links = verified(stars, docs)
+    links = verified(stars, docs, fine)
     joined = components(links)
     rest = members.drop("k").join(joined.withColumnRenamed("node", "id"), "id", "left")
     rest = rest.withColumn("component", F.coalesce("component", "id"))
@@ -349,20 +353,19 @@ def heavy_links(sets: DataFrame, limit: int, docs: DataFrame) -> DataFrame:
     half = F.transform(F.sequence(F.lit(0), F.lit(BITS // 128 - 1)), lambda i: F.get("sketch", i).bitwiseXOR(F.get("sketch", i + BITS // 128)))
     folded = sets.select("id", half.alias("sketch"))
     rest = stage(rest.join(mixed.select("token"), "token").join(folded, "id"))
-    other = rest.select(
-        "token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"),
-        F.col("component").alias("c"), F.col("sketch").alias("right"),
-    )
-    bound = f"least(n - pos, m - at) >= (({NUM} * (n + m) + {NUM + DEN - 1}) div {NUM + DEN})"
+    bound = f"least(l.n - l.pos, r.n - r.pos) >= (({NUM} * (l.n + r.n) + {NUM + DEN - 1}) div {NUM + DEN})"
+    # Both sides read the same columns of the same files, so one shuffle serves both.
     pairs = (
-        rest.join(other, "token")
-        .where(f"id < b and component <> c and greatest(n, m) > {limit} and {bound} and " + _may_link("n", "m", "sketch", "right", BITS // 2))
-        .select(F.col("id").alias("a"), "b")
+        rest.alias("l")
+        .join(rest.alias("r"), F.expr("l.token = r.token"))
+        .where(f"l.id < r.id and l.component <> r.component and greatest(l.n, r.n) > {limit} and {bound}")
+        .where(_may_link("l.n", "r.n", "l.sketch", "r.sketch", BITS // 2))
+        .select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
         .distinct()
     )
     tried = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"))
-    return links.union(verified(pairs, docs))
+    return links.union(verified(pairs, docs, fine))
 
 
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -377,23 +380,24 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     count as linked; a null doc_id gets its set's component where the set has a numbered
     document, else null; an empty table gives an empty result; other columns are not read.
     """
-    settings(docs.sparkSession)
     docs = plain_docs(docs, id_col, text_col)
-    hot_hash, hot_count = frequent_shingles(docs)
-    with staged(docs.mapInArrow(_described(hot_hash, hot_count), SETS_DDL)) as whole:
-        described = stage(whole.select("doc_id", "n_shingles", "set_key"))
-        numbered = whole.where(F.col("n_shingles") > 0)
-        first = stage(numbered.groupBy("set_key").agg(F.min("doc_id").alias("id")))
-        sets = stage(
-            numbered.where(F.col("doc_id").isNotNull())
-            .join(first.select("set_key", F.col("id").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
-            .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "tokens", "groups", "sketch")
-        )
-    counts = sets.groupBy("n").count().where(F.col("n") <= 2 * LIGHT_MAX).collect()
-    limit = boundary({r["n"]: r["count"] for r in counts})
-    owned = docs.where(F.col("doc_id").isNotNull())
-    links = light_links(sets, limit).union(heavy_links(sets, limit, owned))
-    reached = stage(components(links))
+    with bounded_batches(docs.sparkSession):
+        hot_hash, hot_count = frequent_shingles(docs)
+        with staged(docs.mapInArrow(_described(hot_hash, hot_count), SETS_DDL)) as whole:
+            described = stage(whole.select("doc_id", "n_shingles", "set_key"))
+            numbered = whole.where(F.col("n_shingles") > 0)
+            first = stage(numbered.groupBy("set_key").agg(F.min("doc_id").alias("id")))
+            sets = stage(
+                numbered.where(F.col("doc_id").isNotNull())
+                .join(first.select("set_key", F.col("id").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
+                .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "tokens", "groups", "sketch")
+            )
+            counts = sets.groupBy("n").count().where(F.col("n") <= 2 * LIGHT_MAX).collect()
+            limit = boundary({r["n"]: r["count"] for r in counts})
+            owned = docs.where(F.col("doc_id").isNotNull())
+            fine = numbered.where(F.col("doc_id").isNotNull()).select("doc_id", "parities")
+            links = light_links(sets, limit).union(heavy_links(sets, limit, owned, fine))
+            reached = stage(components(links))
     named = first.join(reached.withColumnRenamed("node", "id"), "id", "left").select(
         "set_key", F.coalesce("component", "id").alias("component_id")
     )

@@ -134,6 +134,29 @@ def test_links_do_not_depend_on_the_boundary(spark, monkeypatch, limit):
     assert {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
 
 
+@pytest.mark.parametrize("told", [0, 1_000_000])
+def test_long_sets_are_linked_whether_ids_are_told_or_joined(spark, monkeypatch, told):
+    made = np.random.default_rng(5)
+    texts = []
+    for n in (80, 400, 3000):
+        words = [f"u{x}" for x in made.integers(0, 10**6, n)]
+        for share in (0.0, 0.015, 0.03, 0.2):
+            texts.append([f"new{n}{share}{i}" if made.random() < share else w for i, w in enumerate(words)])
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in texts]
+    label = list(range(len(sets)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 100 * len(x & y) >= 80 * len(x | y) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if v == high else v for v in label]
+    assert len(set(label)) < len(label)
+    monkeypatch.setattr(near, "TOLD_IDS", told)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = near.similarity_classes(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], SCHEMA)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), label[i]) for i, s in enumerate(sets)}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(40).selectExpr("id + 1 AS a", "id AS b")
     assert {tuple(r) for r in common.components(edges).collect()} == {(i, 0) for i in range(41)}
