@@ -108,13 +108,18 @@ def dropped_letters(doc_id: int | None, words: dict[bytes, int]) -> dict[bytes,
     of 199 loses its letter h % length.  A null id changes nothing."""
     if doc_id is None:
         return words
-    start, crc, out = zlib.crc32(b"%d:" % doc_id), zlib.crc32, dict(words)
-    for word in words:
-        if crc(word, start) % 199 == 0:
-            letters = word.decode()
-            at = crc(word, start) % len(letters)
-            short = (letters[:at] + letters[at + 1 :]).encode()
-            out[short] = out.get(short, 0) + out.pop(word)
+    start, crc = zlib.crc32(b"%d:" % doc_id), zlib.crc32
+    slips = [word for word in words if crc(word, start) % 199 == 0]
+    if not slips:
+        return words
+    # All leave before any arrives: what a slip makes may slip itself where the text has it.
+    out = dict(words)
+    moved = [(word, out.pop(word)) for word in slips]
+    for word, n in moved:
+        letters = word.decode()
+        at = crc(word, start) % len(letters)
+        short = (letters[:at] + letters[at + 1 :]).encode()
+        out[short] = out.get(short, 0) + n
     return out
 
 

@@ -294,6 +294,19 @@ def test_a_planted_slip_takes_the_letter_that_its_checksum_names():
     assert queries.dropped_letters(None, {b"word": 1}) == {b"word": 1}
 
 
+def test_a_slip_into_a_word_that_slips_too_moves_only_its_own_occurrences():
+    def slip(doc_id, word):
+        h = zlib.crc32(f"{doc_id}:{word}".encode())
+        return word[: h % len(word)] + word[h % len(word) + 1 :] if h % 199 == 0 else word
+
+    long = "établissements"
+    doc_id = next(k for k in range(10**6) if slip(k, long) != long and slip(k, slip(k, long)) != slip(k, long))
+    middle = slip(doc_id, long)
+    want = {middle.encode(): 20, slip(doc_id, middle).encode(): 3, b"others": 1}
+    for words in ([(long, 20), (middle, 3), ("others", 1)], [(middle, 3), ("others", 1), (long, 20)]):
+        assert queries.dropped_letters(doc_id, {w.encode(): n for w, n in words}) == want
+
+
 def test_forms_form_chains_to_one_root(spark):
     words = [("station", 1000), ("stations", 200), ("statione", 40), ("stationee", 8), ("other", 7), ("oneword", 5)]
     got = {r.word: r for r in spelling.spelling_variants(spark.createDataFrame(words, "word string, n long"), min_letters=5).collect()}
