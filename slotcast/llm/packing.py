@@ -9,17 +9,20 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
+from operator import add
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotcast.session import stage
 
-from .common import count_partitions, plain_docs, settings
-from .pretokens import BARE, SPECIAL, Remembered, piece, units
+from .bpe import byte_letters
+from .common import count_partitions, parts, plain_docs, settings
+from .pretokens import BARE, SPECIAL, Remembered, falls_apart, piece, units
 
 VOCABULARY = "byte_bpe_50k.json"
 SIZE = 2048
@@ -27,13 +30,39 @@ END = 1
 LINE_END = "\n"
 #: Between units that are encoded in one call; each but the bare ones begins with a blank.
 JOIN = LINE_END + " "
-#: Units encoded in one call.
-TOGETHER = 256
+#: Units, and words, encoded in one call.
+TOGETHER, WORDS = 256, 2048
 #: Units whose ids one task remembers, twice over (about 200 bytes each).
 UNITS = 400_000
 #: Units that hold white space other than one or two line ends between other characters, or the
 #: special token's string.
 _ALONE = re.compile(rf"[^\S\n]|\n{{3}}|^\0?\n|^\0?$|\n\Z|{re.escape(SPECIAL)}").search
+#: Letters up to U+024F, which are letters in every version of Unicode.
+_LETTERS = "[A-Za-z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u024f]+"
+#: A word is one pre-token; the ASCII marks behind it, if any, are another.
+_WORD = re.compile(rf"(\0?{_LETTERS})([!-/:-@\[-`{{-~]*)").fullmatch
+#: Bytes of text whose units are told apart at once.
+AT_ONCE = 16_000_000
+
+
+def _joined(keys: list[str]) -> str:
+    return (JOIN + JOIN.join(keys)).replace(JOIN + BARE, LINE_END)[1:]
+
+
+def _parts(key: str) -> list[str]:
+    """Keys of the parts of a unit that encode independently: its line ends, what lies between
+    them, and marks behind a word."""
+    out: list[str] = []
+    for at, line in enumerate(key.split(LINE_END)):
+        if at:
+            out.append(BARE + LINE_END)
+            line = line and BARE + line
+        found = _WORD(line)
+        if found and found[2]:
+            out += found[1], BARE + found[2]
+        elif line:
+            out.append(line)
+    return out
 
 
 class Ids:
@@ -41,42 +70,117 @@ class Ids:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.coder = Tokenizer.from_file(path)
         self.coder.no_padding()
         self.coder.no_truncation()
         self.known = Remembered(UNITS)
         self.line_end = self.coder.token_to_id("Ċ")
+        # The same model for words that are pre-tokens already, in the vocabulary's letters.
+        self.words = Tokenizer(self.coder.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.letters = {b: letter for letter, b in byte_letters().items()} | {ord(LINE_END): " "}
+        vocabulary = self.coder.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, at in vocabulary.items():
+            self.width[at] = len(token)
 
     def learn(self, texts_units: list[list[str]]) -> None:
         """Ids of the units that are not known yet.
 
-        Units are encoded many at once with line ends between: a line end before a blank or a
-        character that is no white space is always a token of its own, and so is each of one or
-        two line ends inside a unit.  Units with other white space are encoded alone.
+        Units fall into words, marks and line ends where they can.  Words are encoded many at
+        once, given as pre-tokens.  Other parts are encoded many at once with line ends between:
+        a line end before a blank or a character that is no white space is always a token of its
+        own, and so is each of one or two line ends inside a unit.  Units with other white space
+        are encoded alone.
         """
-        alone: list[str] = []
-        together: list[str] = []
         new = self.known.unknown(texts_units)
-        now = self.known.now
+        now, older = self.known.now, self.known.older
+        words: set[str] = set()
+        alone: list[str] = []
+        marked, heads, tails = [], [], []
+        split: dict[str, list[str]] = {}
         for key in new:
-            (alone if _ALONE(key) else together).append(key)
+            found = _WORD(key)
+            if found:
+                if found[2]:
+                    marked.append(key)
+                    heads.append(found[1])
+                    tails.append(BARE + found[2])
+                else:
+                    words.add(key)
+            elif _ALONE(key):
+                alone.append(key)
+            else:
+                split[key] = _parts(key)
+        now[BARE + LINE_END] = np.asarray([self.line_end], "<u4").tobytes()
+        together: set[str] = set()
+        for key in set(heads).union(tails, *split.values()).difference(now, words):
+            if key in older:
+                now[key] = older[key]
+            else:
+                (words if _WORD(key) else together).add(key)
         for key, coded in zip(alone, self.coder.encode_batch_fast([piece(k) for k in alone], add_special_tokens=False)):
             now[key] = np.asarray(coded.ids, "<u4").tobytes()
-        for at in range(0, len(together), TOGETHER):
-            keys = together[at : at + TOGETHER]
-            text = (JOIN + JOIN.join(keys)).replace(JOIN + BARE, LINE_END)[1:]
-            ids = np.asarray(self.coder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        self._learn_words(list(words))
+        self._learn_together(list(together))
+        find = now.__getitem__
+        now.update(zip(marked, map(add, map(find, heads), map(find, tails))))
+        for key, parts_ in split.items():
+            if len(parts_) > 1:
+                now[key] = b"".join(map(find, parts_))
+
+    def _learn_words(self, words: list[str]) -> None:
+        for at in range(0, len(words), WORDS):
+            keys = words[at : at + WORDS]
+            raw = _joined(keys).encode()
+            text = raw.decode("latin-1").translate(self.letters)
+            ids = np.asarray(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            gaps = np.flatnonzero(np.frombuffer(raw, np.uint8) == ord(LINE_END))
+            ends = np.append(gaps, len(raw)) - np.arange(len(keys))
+            reached = np.cumsum(self.width[ids])
+            last = np.searchsorted(reached, ends)
+            if reached[-1] != ends[-1] or (reached[last] != ends).any():
+                raise ValueError("a token spans two words")
+            self._keep(keys, ids.tobytes(), (last + 1).tolist())
+
+    def _learn_together(self, units_: list[str]) -> None:
+        for at in range(0, len(units_), TOGETHER):
+            keys = units_[at : at + TOGETHER]
+            ids = np.asarray(self.coder.encode_batch_fast([_joined(keys)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(ids == self.line_end)
-            inside = [k.count(LINE_END) for k in keys]
-            ends = np.append(cuts, len(ids))[np.cumsum(inside) + np.arange(len(keys))].tolist()
-            if len(cuts) != len(keys) - 1 + sum(inside):
+            if len(cuts) != len(keys) - 1:
                 raise ValueError("a line end between units is not a token of its own")
-            raw, start = ids.tobytes(), 0
-            for key, end in zip(keys, ends):
-                now[key] = raw[4 * start : 4 * end]
-                start = end + 1
+            self._keep(keys, ids.tobytes(), [*cuts.tolist(), len(ids)], 1)
+
+    def _keep(self, keys: list[str], raw: bytes, ends: list[int], gap: int = 0) -> None:
+        starts = [0, *[end + gap for end in ends[:-1]]]
+        self.known.now.update(zip(keys, [raw[4 * a : 4 * b] for a, b in zip(starts, ends)]))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text.  Units of texts that fall apart at blanks are told apart by Arrow."""
+        rows = texts.to_pylist()
+        out = [b""] * len(rows)
+        at_blanks = [k for k, text in enumerate(rows) if text and falls_apart(text)]
+        if at_blanks:
+            whole = texts if len(at_blanks) == len(rows) else texts.take(pa.array(at_blanks))
+            bare, nothing, blank = (pa.scalar(x, whole.type) for x in (BARE, "", " "))
+            parts_ = pc.split_pattern(pc.binary_join_element_wise(bare, whole, nothing), " ")
+            found = parts_.flatten().dictionary_encode()
+            listed = pa.ListArray.from_arrays([0, len(found.dictionary)], found.dictionary)
+            keys = pc.binary_join(listed, blank)[0].as_py().split(" ")
+            self.learn([keys])
+            ids = pa.array(list(map(self.known.now.__getitem__, keys)), pa.binary()).take(found.indices)
+            ends = np.frombuffer(ids.buffers()[1], np.int32)[np.cumsum(pc.list_value_length(parts_).to_numpy())].tolist()
+            raw, start = memoryview(ids.buffers()[2]), 0
+            for k, end in zip(at_blanks, ends):
+                out[k], start = bytes(raw[start:end]), end
+        others = {k: units(rows[k]) for k in set(range(len(rows))).difference(at_blanks)}
+        self.learn(list(others.values()))
+        for k, keys in others.items():
+            out[k] = b"".join(map(self.known.now.__getitem__, keys))
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -90,6 +194,19 @@ PIECES = pa.schema(
 PIECES_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+def _gathered(frames: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold so many bytes, as many units come back within a few batches."""
+    held, size = [], 0
+    for batch in frames:
+        if held and size + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _cut(path: str, size: int):
     end = np.asarray([END], "<u4").tobytes()
 
@@ -97,13 +214,10 @@ def _cut(path: str, size: int):
         # A worker that ran other stages still holds their Arrow memory, about 50 MB.
         pa.default_memory_pool().release_unused()
         own = ids_of(path)
-        for batch in frames:
-            texts = [units(t) for t in batch.column(1).to_pylist()]
-            own.learn(texts)
-            find = own.known.now.__getitem__
+        for batch in (part for whole in _gathered(frames, AT_ONCE) for part in parts(whole, "text", AT_ONCE)):
             out: list[list[int]] = [[] for _ in PIECES]
-            for doc_id, parts in zip(batch.column(0).to_pylist(), texts):
-                ids = b"".join(map(find, parts)) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), own.encode(batch.column(1))):
+                ids += end
                 n = len(ids) // 4
                 for start in range(0, n, size):
                     piece = ids[4 * start : 4 * (start + size)]

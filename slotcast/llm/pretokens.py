@@ -27,6 +27,11 @@ def pretokens(text: str) -> list[str]:
     return _PATTERN.findall(text)
 
 
+def falls_apart(text: str) -> bool:
+    """Whether the text, not an empty one, can be cut at each of its blanks."""
+    return not (BARE in text or text[0].isspace() or text[-1].isspace() or _BESIDE_BLANK.search(text))
+
+
 def units(text: str, special: bool = True) -> list[str]:
     """Keys of the pieces of the text, in order, that encode independently.
 
@@ -35,7 +40,7 @@ def units(text: str, special: bool = True) -> list[str]:
     """
     if not text:
         return []
-    if BARE in text or text[0].isspace() or text[-1].isspace() or _BESIDE_BLANK.search(text):
+    if not falls_apart(text):
         parts = special_parts(text) if special and SPECIAL in text else pretokens(text)
         return [BARE + p for p in parts]
     keys = text.split(" ")

@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -227,6 +228,35 @@ def test_packing_places_every_id_once(docs):
         assert at <= packing.SIZE
 
 
+@pytest.mark.parametrize("remembered", [400_000, 50])
+def test_ids_of_units_put_together_are_those_of_the_library(monkeypatch, remembered):
+    monkeypatch.setattr(packing, "UNITS", remembered)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own, draw = Tokenizer.from_file(path), packing.Ids(path), random.Random(5)
+    pool = [
+        "a", "Word", "é", "ÿ", "×", "ɏ", "ɐ", "Ж", "中", "12", "'", "'s", "'ll", "!", "...", "|", "\n", "\n\n", "\n\n\n", "\t", " ", " ", "  ",
+        "\x85", "\0", "<|endoftext|>", "\U0001f600", "e\u0301", "Ċ", "Ġ", "_",
+    ]
+    texts = ["".join(draw.choice(pool) for _ in range(draw.randrange(20))) for _ in range(3000)]
+    texts += [" ".join("".join(draw.choice(pool[:18]) for _ in range(draw.randrange(1, 5))) for _ in range(9)) for _ in range(3000)]
+    for at in range(0, len(texts), 500):
+        part = texts[at : at + 500]
+        want = [np.asarray(e.ids, "<u4").tobytes() for e in library.encode_batch(part, add_special_tokens=False)]
+        assert own.encode(pa.array(["before", *part]).slice(1)) == want
+
+
+def test_a_word_is_encoded_once_whatever_stands_behind_it(monkeypatch):
+    own = packing.Ids(public_tokenizers.path("byte_bpe_50k.json"))
+    asked = []
+    for name in ("_learn_words", "_learn_together"):
+        keep = getattr(own, name)
+        monkeypatch.setattr(own, name, lambda keys, keep=keep: (asked.extend(keys), keep(keys)))
+    own.encode(pa.array(["Étoile station, étoile! station. station", "a station\nstation!!! étoile..."]))
+    own.encode(pa.array(["the station! étoile,"]))
+    assert len(asked) == len(set(asked)) and sum("station" in key for key in asked) == 2  # after a blank and bare
+    assert not any(re.search(r"\w[^\w]", key) for key in asked)
+
+
 def test_patterns_hold_the_histogram():
     histogram = {2048: 5, 1500: 7, 700: 3, 500: 11, 48: 20, 1: 9}
     patterns = packing.shortest_pack_first(histogram)
