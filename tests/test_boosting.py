@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +139,41 @@ def test_tasks_and_spark_passes_give_the_same_model(rows):
         assert a[6] == pytest.approx(b[6]) and (a[7] or 0) == pytest.approx(b[7] or 0)
 
 
+def test_a_large_histogram_takes_few_bytes_a_row_and_has_the_same_sums(monkeypatch):
+    draw = np.random.default_rng(7)
+    bins, slope = draw.integers(0, BINS, (100_000, 13)).astype(np.uint8), draw.normal(size=100_000)
+    tracemalloc.start()
+    large = boosting._histogram(bins, slope)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 40 * len(bins)
+    monkeypatch.setattr(boosting, "AT_ONCE", len(bins), raising=False)
+    assert np.array_equal(large, boosting._histogram(bins, slope))
+
+
+def test_the_task_holds_no_column_of_doubles_beside_the_others():
+    draw, n = np.random.default_rng(8), 60_000
+    inputs = Inputs("region", ["A", "B"], learners.NUMBERS)
+    xs = [draw.integers(0, 3, n).astype(float), *[np.where(draw.random(n) < 0.1, np.nan, draw.normal(size=n)) for _ in learners.NUMBERS]]
+    y, rank, val = draw.normal(size=n) + xs[0], draw.permutation(n), draw.random(n) < 0.2
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (*xs, y, rank, val)], [*[f"x{k}" for k in range(len(xs))], "y", "draw", "val"])
+    settings, order = Settings(rounds=2), np.lexsort((rank, val))
+    tracemalloc.start()
+    (got,) = boosting._fit_in_task(inputs, settings)(iter([batch.slice(0, 7000), batch.slice(7000)]))
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 190 * n
+    want = boosting.fit_arrays([c[order] for c in xs], y[order], rank[order], val[order], inputs, settings)
+    assert [tuple(r.values()) for r in got.to_pylist()] == want.node_rows()
+
+
+def test_metrics_of_a_model_score_each_row_once(rows):
+    model, _ = learners.fit_gbt(rows, rows.limit(0), ["A", "B"], rounds=1)
+    metrics = learners.validation_metrics(model, rows, "consommation")
+    plan = metrics._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_absolute_loss_over_all_tasks(rows):
     train, val = rows.filter("id < 500"), rows.filter("id >= 500")
     one, _ = learners.fit_alt_learner(train, val, ["A", "B"], rounds=2, leaves=5)
